@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.calibration import BANDS
-from tallybook.functions.numeric import ladder, settle
+from tallybook.functions.numeric import text
 from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles
 
 
@@ -54,16 +54,16 @@ def exact_avg(c: Column) -> Column:
     return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0).cast("bigint"))
 
 
-def _report_value(x: Column, scale: int) -> Column:
-    return settle(x, scale).cast(f"decimal(28,{scale})")
+def report_value(x: Column, scale: int) -> Column:
+    """Round at report scale, half away from zero, after removing binary noise."""
+    guard = 8 if scale <= 2 else 12
+    return F.round(x.cast(f"decimal(38,{guard})"), scale).cast(f"decimal(28,{scale})")
 
 
 def rank_of(column: str, labels: Sequence[str]) -> Column:
     """Position of a label in business order; unlisted labels come last."""
-    return ladder(
-        F.col(column), [(v, i) for i, v in enumerate(labels)], F.lit(len(labels)), F.lit,
-        lambda c, label: c == label,
-    )
+    known = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(column))
+    return F.coalesce(F.nullif(known, F.lit(0)), F.lit(len(labels) + 1))
 
 
 def with_share(counts: DataFrame, n: str = "applications", name: str = "pct_of_total") -> DataFrame:
@@ -74,7 +74,7 @@ def with_share(counts: DataFrame, n: str = "applications", name: str = "pct_of_t
     """
     whole = counts.agg(F.sum(n)).scalar()
     share = F.lit(100.0) * F.col(n) / whole
-    return counts.withColumn(name, _report_value(share, 2))
+    return counts.withColumn(name, report_value(share, 2))
 
 
 def record_count(df: DataFrame, name: str = "application_count") -> DataFrame:
@@ -118,7 +118,7 @@ def segment_profile(
     if share:
         out = with_share(out)
         columns.append("pct_of_total")
-    return out.select(*columns, *[_report_value(F.col(m.name), m.scale).alias(m.name) for m in metrics])
+    return out.select(*columns, *[report_value(F.col(m.name), m.scale).alias(m.name) for m in metrics])
 
 
 def matrix(df: DataFrame, by: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
@@ -126,10 +126,10 @@ def matrix(df: DataFrame, by: Sequence[str], metrics: Sequence[Metric]) -> DataF
     return segment_profile(df, by, metrics, share=False)
 
 
-def bucket(value: Column, edges: Sequence[float | str], labels: Sequence[str]) -> Column:
+def bucket(value: str, edges: Sequence[float | str], labels: Sequence[str]) -> Column:
     """Label of the first edge above the value; the last label takes the rest and NULL."""
-    typed = [(F.lit(e) if isinstance(e, float) else F.expr(e), v) for e, v in zip(edges, labels)]
-    return ladder(value, typed, F.lit(labels[-1]), F.lit)
+    rungs = " ".join(f"WHEN {value} < {e} THEN {text(v)}" for e, v in zip(edges, labels))
+    return F.expr(f"CASE {rungs} ELSE {text(labels[-1])} END")
 
 
 def bucket_summary(
@@ -141,7 +141,7 @@ def bucket_summary(
     name: str,
 ) -> DataFrame:
     """Segment report over buckets of a value, in bucket order."""
-    labelled = df.withColumn(name, bucket(F.col(value), edges, labels))
+    labelled = df.withColumn(name, bucket(value, edges, labels))
     return segment_profile(labelled, name, metrics).orderBy(rank_of(name, labels))
 
 
@@ -151,7 +151,10 @@ def text_order(column: str) -> Column:
 
 
 def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
-    """Distribution of several columns: one aggregation and the exact quartiles."""
+    """Distribution of several columns: one aggregation and the exact quartiles.
+
+    ``scales`` gives the digits of each column's figures, 2 or 4.
+    """
     totals = df.agg(
         F.count("*").alias("n"),
         *[
@@ -189,11 +192,8 @@ def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
     joined = summary.join(quartiles, F.col("variable_name") == F.col("variable"), "left")
 
     def rounded(name: str) -> Column:
-        by_scale = [(s, _report_value(F.col(name), s)) for s in sorted(set(scales.values()))]
-        picked = ladder(
-            F.col("scale"), by_scale[:-1], by_scale[-1][1], test=lambda x, s: x == s
-        ) if len(by_scale) > 1 else by_scale[0][1]
-        return picked.cast("decimal(28,4)").alias(name)
+        two, four = (report_value(F.col(name), s).cast("decimal(28,4)") for s in (2, 4))
+        return F.when(F.col("scale") == 2, two).otherwise(four).alias(name)
 
     values = ("min_val", "p25", "median", "mean", "p75", "max_val", "std_dev")
     return joined.select("variable_name", "n", *[rounded(v) for v in values]).orderBy("variable_name")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallybook.calibration import DEFAULT, PRODUCT_FIELD, Calibration
+from tallybook.functions.draws import add
 from tallybook.functions.numeric import (
+    Sql,
     by_segment,
     clamp,
     dec,
+    double,
+    num,
     step,
     step_at_most,
     step_between,
@@ -22,75 +23,68 @@ from tallybook.params import Params
 from tallybook.schema import MULTIPLIERS
 
 
-def flag_multiplier(flag: Column, value: str) -> Column:
+def flag_multiplier(flag: Sql, value: str) -> Sql:
     """``value`` where the flag is set, else 1."""
-    return F.when(flag, dec(value)).otherwise(dec("1.00"))
+    return f"if({flag}, {dec(value)}, {dec(1)})"
 
 
-def pd_components(cal: Calibration = DEFAULT) -> dict[str, Column]:
+def pd_components(cal: Calibration = DEFAULT) -> dict[str, Sql]:
     """Base PD and the eleven multipliers, by output column name."""
     return {
-        "base_pd": by_segment(
-            F.col("score_band"), {k: dec(v, 12, 6) for k, v in cal.base_pd.items()}
-        ),
-        "mult_delinq": step_equal(F.col("delinquency_count_12m"), cal.mult_delinq),
-        "mult_derog": flag_multiplier(F.col("major_derogatory_flag"), cal.mult_derog),
-        "mult_bankruptcy": flag_multiplier(F.col("bankruptcy_flag"), cal.mult_bankruptcy),
-        "mult_util": step(F.col("utilization_rate"), cal.mult_util),
-        "mult_dti": step(F.col("debt_to_income_ratio"), cal.mult_dti),
-        "mult_inquiry": step_at_most(F.col("recent_inquiry_count"), cal.mult_inquiry),
-        "mult_tradeline": step_between(F.col("tradeline_count"), cal.mult_tradeline),
-        "mult_file_age": step(F.col("months_since_oldest_trade"), cal.mult_file_age),
-        "mult_pti": step(F.col("payment_to_income_ratio"), cal.mult_pti),
-        "mult_amt_income": step(F.col("amount_to_income_ratio"), cal.mult_amt_income),
-        "mult_product": by_segment(
-            F.col("product_type"), {k: dec(v) for k, v in cal.mult_product.items()}
-        ),
+        "base_pd": by_segment("score_band", {k: dec(v, 12, 6) for k, v in cal.base_pd.items()}),
+        "mult_delinq": step_equal("delinquency_count_12m", cal.mult_delinq),
+        "mult_derog": flag_multiplier("major_derogatory_flag", cal.mult_derog),
+        "mult_bankruptcy": flag_multiplier("bankruptcy_flag", cal.mult_bankruptcy),
+        "mult_util": step("utilization_rate", cal.mult_util),
+        "mult_dti": step("debt_to_income_ratio", cal.mult_dti),
+        "mult_inquiry": step_at_most("recent_inquiry_count", cal.mult_inquiry),
+        "mult_tradeline": step_between("tradeline_count", cal.mult_tradeline),
+        "mult_file_age": step("months_since_oldest_trade", cal.mult_file_age),
+        "mult_pti": step("payment_to_income_ratio", cal.mult_pti),
+        "mult_amt_income": step("amount_to_income_ratio", cal.mult_amt_income),
+        "mult_product": by_segment("product_type", {k: dec(v) for k, v in cal.mult_product.items()}),
     }
 
 
 def with_pd_components(df: DataFrame, cal: Calibration = DEFAULT) -> DataFrame:
     """Add base PD and the multipliers."""
-    return df.withColumns(pd_components(cal))
+    return add(df, **pd_components(cal))
 
 
-def scorecard_pd(components, jitter_draw: Column, cal: Calibration = DEFAULT) -> Column:
+def scorecard_pd(components, jitter_draw: Sql, cal: Calibration = DEFAULT) -> Sql:
     """Product of the components and a small jitter, kept inside the PD limits."""
     shift, width = cal.pd_jitter
-    product = reduce(lambda a, b: a * b, [F.col(c).cast("double") for c in components])
-    jitter = F.lit(shift) + jitter_draw * F.lit(width)
     low, high = cal.pd_limits
-    return to_decimal(clamp(product * jitter, low, high), 12, 6)
+    product = " * ".join(double(c) for c in components)
+    jitter = f"({num(shift)} + {jitter_draw} * {num(width)})"
+    return to_decimal(clamp(f"{product} * {jitter}", num(low), num(high)), 12, 6)
 
 
-def lgd(product: Column, params: Params) -> Column:
+def lgd(product: Sql, params: Params) -> Sql:
     """Loss given default of the product."""
     return by_segment(product, {p: params(f"lgd_{f}") for p, f in PRODUCT_FIELD.items()})
 
 
-def expected_loss(amount: Column, pd: Column, lgd_: Column) -> Column:
+def expected_loss(amount: Sql, pd: Sql, lgd_: Sql) -> Sql:
     """``amount * pd * lgd`` in exact decimals, rounded to cents.
 
     PD and LGD are below 10, so narrow decimals keep all 14 fraction digits.
     """
-    exact = amount.cast("decimal(18,2)") * pd.cast("decimal(7,6)") * lgd_.cast("decimal(7,6)")
-    return F.round(exact, 2).cast("decimal(18,2)")
+    exact = (
+        f"CAST({amount} AS DECIMAL(18,2)) * CAST({pd} AS DECIMAL(7,6))"
+        f" * CAST({lgd_} AS DECIMAL(7,6))"
+    )
+    return f"CAST(round({exact}, 2) AS DECIMAL(18,2))"
 
 
 def with_risk(df: DataFrame, params: Params, cal: Calibration = DEFAULT) -> DataFrame:
     """PD components, PD, LGD and expected loss, from the structure columns."""
-    return (
-        df.transform(with_pd_components, cal)
-        .withColumns(
-            {
-                "estimated_pd": scorecard_pd(("base_pd", *MULTIPLIERS), F.col("u15"), cal),
-                "estimated_lgd": lgd(F.col("product_type"), params),
-            }
-        )
-        .withColumn(
-            "expected_loss_amount",
-            expected_loss(
-                F.col("requested_amount"), F.col("estimated_pd"), F.col("estimated_lgd")
-            ),
-        )
+    scored = add(
+        with_pd_components(df, cal),
+        estimated_pd=scorecard_pd(("base_pd", *MULTIPLIERS), "u15", cal),
+        estimated_lgd=lgd("product_type", params),
+    )
+    return add(
+        scored,
+        expected_loss_amount=expected_loss("requested_amount", "estimated_pd", "estimated_lgd"),
     )

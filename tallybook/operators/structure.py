@@ -2,151 +2,144 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallybook.calibration import DEFAULT, PRODUCT_FIELD, Calibration
 from tallybook.functions import draws as D
-from tallybook.functions.numeric import by_segment, clamp, dec, settle, to_decimal
+from tallybook.functions.draws import add
+from tallybook.functions.numeric import (
+    Sql,
+    by_segment,
+    clamp,
+    dec,
+    double,
+    num,
+    settle,
+    text,
+    to_decimal,
+)
 from tallybook.params import Params
 
-MORTGAGE = "MORTGAGE"
 
-
-def _bounds(params: Params) -> dict[str, tuple[Column, Column]]:
+def _bounds(params: Params) -> dict[str, tuple[Sql, Sql]]:
     return {p: (params(f"min_{f}_amt"), params(f"max_{f}_amt")) for p, f in PRODUCT_FIELD.items()}
 
 
 def with_base_amount(df: DataFrame, params: Params) -> DataFrame:
     """Amount spread over the product's range, before income is taken into account."""
-    return df.withColumn(
-        "base_amount", D.draw_amount_by(F.col("product_type"), F.col("u5"), _bounds(params))
-    )
+    return add(df, base_amount=D.draw_amount_by("product_type", "u5", _bounds(params)))
 
 
-def requested_amount(params: Params, cal: Calibration = DEFAULT) -> Column:
+def requested_amount(params: Params, cal: Calibration = DEFAULT) -> Sql:
     """Base amount scaled by income and kept inside the product's range.
 
     A mortgage is also limited by a multiple of income, and that limit may fall
     below the product minimum.
     """
-    base, income = F.col("base_amount").cast("double"), F.col("annual_income").cast("double")
-    bounds = _bounds(params)
-    shift, width = cal.amount_dispersion
-    spread = F.lit(shift) + F.col("u6") * F.lit(width)
+    base, income, bounds = double("base_amount"), double("annual_income"), _bounds(params)
+
+    def spread(draw: str, shape: tuple[float, float]) -> Sql:
+        return f"({num(shape[0])} + {draw} * {num(shape[1])})"
+
     amounts = {}
     for product, (constant, unit, slope) in cal.amount_scaling.items():
-        scaled = base * (F.lit(constant) + income / F.lit(unit) * F.lit(slope)) * spread
+        factor = f"({num(constant)} + {income} / {num(unit)} * {num(slope)})"
+        scaled = f"{base} * {factor} * {spread('u6', cal.amount_dispersion)}"
         amounts[product] = clamp(scaled, *bounds[product])
 
     constant, unit, slope = cal.mortgage_scaling
-    shift, width = cal.mortgage_dispersion
-    anchor = (
-        base
-        * (F.lit(constant) + F.least(income / F.lit(unit), F.lit(1.0)) * F.lit(slope))
-        * (F.lit(shift) + F.col("u6") * F.lit(width))
-    )
+    factor = f"({num(constant)} + least({income} / {num(unit)}, 1D) * {num(slope)})"
+    anchor = f"{base} * {factor} * {spread('u6', cal.mortgage_dispersion)}"
     multiple = by_segment(
-        F.col("score_band"), {k: F.lit(m) for k, m in cal.mortgage_income_multiple.items()}
-    )
-    shift, width = cal.mortgage_cap_dispersion
-    capacity = income * multiple * (F.lit(shift) + F.col("u7") * F.lit(width))
-    low, high = bounds[MORTGAGE]
-    amounts[MORTGAGE] = F.least(
-        high.cast("double"), capacity, F.greatest(low.cast("double"), anchor)
+        "score_band", {k: num(m) for k, m in cal.mortgage_income_multiple.items()}
     )
-    return to_decimal(by_segment(F.col("product_type"), amounts), 18, 2)
+    capacity = f"{income} * {multiple} * {spread('u7', cal.mortgage_cap_dispersion)}"
+    low, high = bounds["MORTGAGE"]
+    amounts["MORTGAGE"] = f"least({double(high)}, {capacity}, greatest({double(low)}, {anchor}))"
+    return to_decimal(by_segment("product_type", amounts), 18, 2)
 
 
-def apr_raw(params: Params, cal: Calibration = DEFAULT) -> Column:
+def apr_raw(params: Params, cal: Calibration = DEFAULT) -> Sql:
     """Product base rate plus band premium, noise and the scenario's rate shift."""
     base = by_segment(
-        F.col("product_type"),
-        {p: params(f"base_rate_{f}").cast("double") for p, f in PRODUCT_FIELD.items()},
+        "product_type",
+        {p: double(params(f"base_rate_{f}")) for p, f in PRODUCT_FIELD.items()},
     )
     premium = by_segment(
-        F.col("score_band"),
-        {k: F.lit(a) + F.col("u4") * F.lit(w) for k, (a, w) in cal.apr_premium.items()},
+        "score_band", {k: f"{num(a)} + u4 * {num(w)}" for k, (a, w) in cal.apr_premium.items()}
     )
-    noise = (F.col("u5") - F.lit(0.5)) * F.lit(cal.apr_noise)
-    shift = params("rate_shift_bps") / F.lit(10000.0)
-    return to_decimal(base + premium + noise + shift, 12, 6)
+    noise = f"(u5 - 0.5D) * {num(cal.apr_noise)}"
+    shift = f"{params('rate_shift_bps')} / 10000D"
+    return to_decimal(f"{base} + {premium} + {noise} + {shift}", 12, 6)
 
 
-def apr_bounded(raw: Column, cal: Calibration = DEFAULT) -> Column:
+def apr_bounded(raw: Sql, cal: Calibration = DEFAULT) -> Sql:
     """APR kept inside the product's limits."""
     limits = {
-        p: F.least(dec(high, 12, 6), F.greatest(dec(low, 12, 6), raw))
+        p: f"least({dec(high, 12, 6)}, greatest({dec(low, 12, 6)}, {raw}))"
         for p, (low, high) in cal.apr_limits.items()
     }
-    return by_segment(F.col("product_type"), limits)
+    return by_segment("product_type", limits)
 
 
 def with_amount_and_apr(df: DataFrame, params: Params, cal: Calibration = DEFAULT) -> DataFrame:
     """Requested amount and bounded APR."""
-    return df.withColumns(
-        {"requested_amount": requested_amount(params, cal), "apr_raw": apr_raw(params, cal)}
-    ).withColumn("base_apr_for_payment_calc", apr_bounded(F.col("apr_raw"), cal))
+    priced = add(df, requested_amount=requested_amount(params, cal), apr_raw=apr_raw(params, cal))
+    return add(priced, base_apr_for_payment_calc=apr_bounded("apr_raw", cal))
 
 
-def amortizing_payment(amount: Column, apr: Column, term: Column) -> Column:
+def amortizing_payment(amount: Sql, apr: Sql, term: Sql) -> Sql:
     """Level monthly payment; NULL without a term, straight-line at a zero rate."""
-    rate = apr.cast("double") / F.lit(12.0)
-    growth = F.pow(F.lit(1.0) + rate, term.cast("double"))
-    principal = amount.cast("double")
+    rate = f"({double(apr)} / 12D)"
+    growth = f"pow(1D + {rate}, {double(term)})"
+    level = f"{double(amount)} * ({rate} * {growth}) / ({growth} - 1D)"
     return (
-        F.when(term.isNull() | (term == 0), F.lit(None).cast("double"))
-        .when(rate == 0.0, principal / term)
-        .otherwise(principal * (rate * growth) / (growth - F.lit(1.0)))
+        f"CASE WHEN {term} IS NULL OR {term} = 0 THEN NULL"
+        f" WHEN {apr} = 0 THEN {double(amount)} / {term} ELSE {level} END"
     )
 
 
 def monthly_payment(
-    product: Column, amount: Column, apr: Column, term: Column, cal: Calibration = DEFAULT
-) -> Column:
+    product: Sql, amount: Sql, apr: Sql, term: Sql, cal: Calibration = DEFAULT
+) -> Sql:
     """Amortizing payment, revolving minimum payment or HELOC interest, by product."""
-    amount = amount.cast("decimal(18,2)")
-    interest = settle(amount.cast("double") * (apr.cast("double") / F.lit(12.0)), 2)
-    minimum = F.round(amount * dec(cal.revolving_payment_rate, 4, 3), 2)
+    money = f"CAST({amount} AS DECIMAL(18,2))"
+    amortizing = ", ".join(text(p) for p in cal.amortizing)
+    minimum = f"round({money} * {cal.revolving_payment_rate}BD, 2)"
+    interest = settle(f"{double(money)} * ({double(apr)} / 12D)", 2)
     return (
-        F.when(
-            product.isin(*cal.amortizing), to_decimal(amortizing_payment(amount, apr, term), 18, 2)
-        )
-        .when(product == "REVOLVING_LINE", minimum.cast("decimal(18,2)"))
-        .when(product == "HELOC", interest.cast("decimal(18,2)"))
+        f"CASE WHEN {product} IN ({amortizing})"
+        f" THEN {to_decimal(amortizing_payment(amount, apr, term), 18, 2)}"
+        f" WHEN {product} = 'REVOLVING_LINE' THEN CAST({minimum} AS DECIMAL(18,2))"
+        f" WHEN {product} = 'HELOC' THEN CAST({interest} AS DECIMAL(18,2)) END"
     )
 
 
-def amount_to_income(amount: Column, income: Column) -> Column:
+def amount_to_income(amount: Sql, income: Sql) -> Sql:
     """Amount over annual income; NULL at zero income."""
-    income = F.nullif(income.cast("double"), F.lit(0.0))
-    return to_decimal(amount.cast("double") / income, 18, 6)
+    return to_decimal(f"{double(amount)} / nullif({double(income)}, 0D)", 18, 6)
 
 
-def payment_to_income(payment: Column, income: Column) -> Column:
+def payment_to_income(payment: Sql, income: Sql) -> Sql:
     """Monthly payment over monthly income; NULL at zero income."""
-    monthly = F.nullif(income.cast("double") / F.lit(12.0), F.lit(0.0))
-    return to_decimal(payment.cast("double") / monthly, 18, 6)
+    return to_decimal(f"{double(payment)} / nullif({double(income)} / 12D, 0D)", 18, 6)
 
 
 def with_payment(df: DataFrame, cal: Calibration = DEFAULT) -> DataFrame:
     """Monthly payment and the two affordability ratios."""
-    return df.withColumns(
-        {
-            "monthly_payment_proxy": monthly_payment(
-                F.col("product_type"),
-                F.col("requested_amount"),
-                F.col("base_apr_for_payment_calc"),
-                F.col("loan_term_months"),
-                cal,
-            ),
-            "amount_to_income_ratio": amount_to_income(
-                F.col("requested_amount"), F.col("annual_income")
-            ),
-        }
-    ).withColumn(
-        "payment_to_income_ratio",
-        payment_to_income(F.col("monthly_payment_proxy"), F.col("annual_income")),
+    paid = add(
+        df,
+        monthly_payment_proxy=monthly_payment(
+            "product_type",
+            "requested_amount",
+            "base_apr_for_payment_calc",
+            "loan_term_months",
+            cal,
+        ),
+        amount_to_income_ratio=amount_to_income("requested_amount", "annual_income"),
+    )
+    return add(
+        paid, payment_to_income_ratio=payment_to_income("monthly_payment_proxy", "annual_income")
     )
 
 

@@ -7,10 +7,11 @@ from dataclasses import asdict, dataclass, fields
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallybook.functions.numeric import dec, text
+
 RATE = T.DecimalType(12, 6)
 RATIO = T.DecimalType(12, 4)
 MONEY = T.DecimalType(18, 2)
@@ -128,33 +129,42 @@ def load_scenarios(df: DataFrame, limit: int = 1000) -> list[Scenario]:
     return [Scenario(**r.asDict()) for r in rows]
 
 
-Params = Callable[[str], Column]
+Params = Callable[[str], str]
 
 
-def literal(name: str, value) -> Column:
-    """A parameter value as a typed literal."""
-    return F.lit(_typed(name, value)).cast(_field_type(name))
+def literal(name: str, value) -> str:
+    """A parameter value as a typed SQL literal."""
+    kind = _field_type(name)
+    if value is None:
+        return f"CAST(NULL AS {kind.simpleString()})"
+    if isinstance(kind, T.StringType):
+        return text(value)
+    if isinstance(kind, T.DateType):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(kind, T.DecimalType):
+        return dec(value, kind.precision, kind.scale)
+    return str(int(value))
 
 
-def bind(scenarios: Sequence[Scenario], index: Column | None = None) -> Params:
-    """Give access to parameters as Columns.
+def bind(scenarios: Sequence[Scenario], index: str | None = None) -> Params:
+    """Give access to parameters as SQL expressions.
 
     A parameter that is equal in all the scenarios is a literal, so Catalyst folds
     it. One that differs is picked from a literal array by the row's ``index``
     (1-based).
     """
 
-    def param(name: str) -> Column:
+    def param(name: str) -> str:
         values = [getattr(s, name) for s in scenarios]
         if len(set(values)) == 1:
             return literal(name, values[0])
         if index is None:
             raise ValueError(f"scenarios differ in {name} and no index was given")
-        return F.element_at(F.array(*[literal(name, v) for v in values]), index)
+        return f"element_at(array({', '.join(literal(name, v) for v in values)}), {index})"
 
     return param
 
 
 def from_columns(prefix: str = "") -> Params:
     """Give access to parameters that are columns of the row itself."""
-    return lambda name: F.col(prefix + name)
+    return lambda name: prefix + name

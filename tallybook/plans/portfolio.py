@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.calibration import DEFAULT, Calibration
-from tallybook.functions.draws import with_draws
+from tallybook.functions.draws import add, with_draws
 from tallybook.operators.borrower import with_borrower
 from tallybook.operators.risk import with_risk
 from tallybook.operators.structure import with_structure
@@ -19,16 +19,16 @@ from tallybook.sources.keys import with_ids
 
 def with_created_ts(df: DataFrame) -> DataFrame:
     """Audit column. It differs between runs, so leave it out of comparisons."""
-    return df.withColumn("created_ts", F.current_timestamp())
+    return add(df, created_ts="current_timestamp()")
 
 
 def finalize(df: DataFrame, audit: bool = True) -> DataFrame:
     """Project to the application schema, in order."""
     if audit:
         df = with_created_ts(df)
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name).cast(f.dataType).alias(f.name)
+            f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in APPLICATION_SCHEMA
             if audit or f.name not in AUDIT_COLUMNS
         ]
@@ -71,8 +71,8 @@ def score_scenarios(
 
     df = _multiply(with_ids(keys, pad=pad), "_population", None, [range(1, len(populations) + 1)])
     first = [next(s for s in scenarios if s.population_id == p) for p in populations]
-    population = bind(first, _index("_population", first))("population_id")
-    df = with_draws(df.withColumn("population_id", population), "application_id", F.col("population_id"))
+    df = add(df, population_id=bind(first, "_population")("population_id"))
+    df = with_draws(df, "application_id", "population_id")
 
     df = _multiply(
         df,
@@ -80,7 +80,7 @@ def score_scenarios(
         "_population",
         [[i for i, b in enumerate(borrowers, 1) if b[0] == p] for p in populations],
     )
-    df = with_borrower(df, bind(examples, _index("_borrower", examples)), cal)
+    df = with_borrower(df, bind(examples, "_borrower"), cal)
 
     df = _multiply(
         df,
@@ -88,8 +88,8 @@ def score_scenarios(
         "_borrower",
         [[i for i, s in enumerate(scenarios, 1) if _borrower(s) == b] for b in borrowers],
     )
-    params = bind(scenarios, _index("_scenario", scenarios))
-    df = df.withColumns({n: params(n) for n in ("scenario_name", "anchor_date")})
+    params = bind(scenarios, "_scenario")
+    df = add(df, scenario_name=params("scenario_name"), anchor_date=params("anchor_date"))
     return finalize(with_risk(with_structure(df, params, cal), params, cal), audit)
 
 
@@ -101,18 +101,14 @@ def _distinct(values: Iterable) -> list:
     return list(dict.fromkeys(values))
 
 
-def _index(column: str, choices: Sequence) -> Column | None:
-    return F.col(column) if len(choices) > 1 else None
-
-
 def _multiply(df: DataFrame, column: str, parent: str | None, members: Sequence) -> DataFrame:
     """One row per member of the row's parent. A single member needs no new rows."""
-    groups = [F.array(*[F.lit(i) for i in m]) for m in members]
+    groups = [f"array({', '.join(map(str, m))})" for m in members]
+    if len(members) == 1 and len(members[0]) == 1:
+        return add(df, **{column: str(members[0][0])})
     if len(members) == 1:
-        if len(members[0]) == 1:
-            return df.withColumn(column, F.lit(members[0][0]))
-        return df.withColumn(column, F.explode(groups[0]))
-    return df.withColumn(column, F.explode(F.element_at(F.array(*groups), F.col(parent))))
+        return add(df, **{column: f"explode({groups[0]})"})
+    return add(df, **{column: f"explode(element_at(array({', '.join(groups)}), {parent}))"})
 
 
 def compare_scenarios(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.functions.draws import add
+from tallybook.functions.numeric import Sql, text
+
 
 def key_table(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:
     """Keys 1..n as ``application_seq``."""
@@ -21,19 +24,18 @@ def keyed(df: DataFrame, key_col: str, partitions: int | None = None) -> DataFra
     return keys if partitions is None else keys.repartition(partitions)
 
 
-def padded_id(prefix: str, key: Column, pad: int = 8) -> Column:
+def padded_id(prefix: str, key: Sql, pad: int = 8) -> Sql:
     """``prefix`` and the key, zero-padded to ``pad`` digits. Longer keys keep all digits."""
-    digits = key.cast("string")
-    return F.concat(
-        F.lit(prefix), F.when(F.length(digits) < pad, F.lpad(digits, pad, "0")).otherwise(digits)
+    digits = f"CAST({key} AS STRING)"
+    return (
+        f"concat({text(prefix)}, if(length({digits}) < {pad}, lpad({digits}, {pad}, '0'), {digits}))"
     )
 
 
-def with_ids(df: DataFrame, key: str = "application_seq", pad: int = 8) -> DataFrame:
+def with_ids(df: DataFrame, key: Sql = "application_seq", pad: int = 8) -> DataFrame:
     """Add ``application_id`` and ``applicant_id``."""
-    return df.withColumns(
-        {
-            "application_id": padded_id("APP-", F.col(key), pad),
-            "applicant_id": padded_id("CUST-", F.col(key), pad),
-        }
+    return add(
+        df,
+        application_id=padded_id("APP-", key, pad),
+        applicant_id=padded_id("CUST-", key, pad),
     )
