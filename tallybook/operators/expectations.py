@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.operators.reports import rank_of
+from tallybook.sources.store import stage
 
 
 def trend(report: DataFrame, label: str, labels: Sequence[str], value: str, rising: bool) -> DataFrame:
@@ -62,7 +63,13 @@ def review_expectations(
     targets: Mapping[str, float],
     tolerance: float = 1.0,
 ) -> DataFrame:
-    """The standard set: mix on target, stronger bands look stronger, PD follows PTI."""
+    """The standard set: mix on target, stronger bands look stronger, PD follows PTI.
+
+    The reports have one row per segment and feed many checks, so they are staged.
+    """
+    mixes, bands, buckets = (
+        stage(report, name) for report, name in ((mixes, "mix"), (bands, "bands"), (buckets, "buckets"))
+    )
     checks = [near_target(mixes, "score_band", targets, tolerance)]
     for value, rising in (
         ("avg_credit_score", False),

@@ -14,14 +14,16 @@ def key_table(spark: SparkSession, n: int, partitions: int | None = None) -> Dat
     return spark.range(1, n + 1, 1, partitions).withColumnRenamed("id", "application_seq")
 
 
-def keyed(df: DataFrame, key_col: str, partitions: int | None = None) -> DataFrame:
+def keyed(df: DataFrame, key_col: str) -> DataFrame:
     """Use a column of an existing table as the application key.
 
-    Scoring adds about 40 columns to each key. When the table comes in fewer tasks
-    than the cluster can run, ``partitions`` spreads the bare 8-byte keys first.
+    Scoring adds about 40 columns to each key. A table that is read in fewer tasks
+    than the cluster runs at once is spread first, while a row is a bare 8-byte key.
+    Larger tables keep the partitions of their scan, without a shuffle.
     """
     keys = df.select(F.col(key_col).cast("bigint").alias("application_seq"))
-    return keys if partitions is None else keys.repartition(partitions)
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return keys.repartition(slots) if keys.rdd.getNumPartitions() < slots else keys
 
 
 def padded_id(prefix: str, key: Sql, pad: int = 8) -> Sql:
