@@ -154,6 +154,7 @@ def match_scenarios(
     on the join key, so the join needs no exchange.
     """
     keys = ("population_id", "application_seq")
+    by = [c for c in by if c not in keys]
 
     def side(name: str, label: str) -> DataFrame:
         renamed = [F.col(c).alias(f"{label}_{c}") for c in (*by, *measures)]
