@@ -3,8 +3,8 @@
 The built-in ``percentile`` keeps every distinct value of a group in one buffer.
 Here a first scan counts rows per cell of an order-preserving histogram, which is
 small whatever the row count. The cells that hold the wanted ranks are then the only
-ones whose values a second scan looks at. Columns with practically unlimited distinct
-values (double, float) get one more, finer histogram in between.
+ones whose values a second scan looks at. Where such a cell may still hold very many
+distinct values, it is split by a finer histogram first.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ FINE_CELLS = 4096
 _OFFSET = 1100 * CELLS_PER_OCTAVE  # above the smallest exponent of a double
 _NAN_CELL = 2**31 - 1
 BROADCAST_ROWS = 100_000
+CELL_VALUES = 1_000_000
+MAX_SPLITS = 4
 
 
 def log_cell(x: Column) -> Column:
@@ -52,23 +54,27 @@ def exact_quantiles(
     meet in one task, and Spark picks the join.
     """
     key = [*by, "variable"]
-    types = {f.name: f.dataType for f in df.schema}
-    refine = any(isinstance(types[c], (T.DoubleType, T.FloatType)) for c in columns)
+    cell_key = [*key, "cell"]
     rows = _long_form(df, columns, by).withColumn("cell", log_cell(F.col("x")))
-
-    cells = _histogram(rows, [*key, "cell"])
+    cells = _histogram(rows, cell_key)
     wanted = stage(_cells_with_ranks(cells, key, probs), "cells")
-    small = wanted.count() <= BROADCAST_ROWS
-    cell_key = [*key, "cell"]
+    most_values = _most_values([df.schema[c].dataType for c in columns])
+    count, values = wanted.agg(F.count("*"), most_values).first()
+    small = count <= BROADCAST_ROWS
     if not small:
         rows = rows.groupBy(*cell_key, "x").agg(F.count("*").alias("n"))
-    rows = _keep(rows, wanted, cell_key, ["low", "high"], small)
-    if refine:
-        rows = rows.withColumn("fine", fine_cell(F.col("x"), F.col("low"), F.col("high")))
-        fine_cells = _histogram(rows.drop("low", "high"), [*cell_key, "fine"])
-        wanted = stage(_fine_cells_with_ranks(fine_cells, cell_key, wanted, small), "fine_cells")
-        cell_key = [*cell_key, "fine"]
-        rows = _keep(rows, wanted, cell_key, [], small)
+    for split in range(MAX_SPLITS):
+        if (values or 0) <= CELL_VALUES:
+            break
+        fine = f"fine_{split}"
+        rows = _keep(rows, wanted, cell_key, ["low", "high"], small)
+        rows = rows.withColumn(fine, fine_cell(F.col("x"), F.col("low"), F.col("high")))
+        rows = rows.drop("low", "high")
+        cells = _histogram(rows, [*cell_key, fine])
+        wanted = stage(_fine_cells_with_ranks(cells, cell_key, fine, wanted, small), fine)
+        cell_key = [*cell_key, fine]
+        values = wanted.agg(most_values).first()[0]
+    rows = _keep(rows, wanted, cell_key, [], small)
     if small:
         rows = rows.groupBy(*cell_key, "x").agg(F.count("*").alias("n"))
     names = F.array(*[F.lit(c) for c in columns])
@@ -104,6 +110,19 @@ def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> Data
     return df.select(*by, F.inline(pairs)).where(F.col("x").isNotNull())
 
 
+def _most_values(types: Sequence[T.DataType]) -> Column:
+    """Upper bound of the distinct values in the fullest cell."""
+    units = []
+    for t in types:
+        exact = isinstance(t, (T.IntegralType, T.DecimalType))
+        units.append(10.0 ** getattr(t, "scale", 0) if exact else float("inf"))
+    unit = F.element_at(F.array(*[F.lit(u) for u in units]), F.col("variable") + F.lit(1))
+    steps = F.when(F.col("low") == F.col("high"), F.lit(1.0)).otherwise(
+        (F.col("high") - F.col("low")) * unit + F.lit(1.0)
+    )
+    return F.max(F.least(F.col("n").cast("double"), steps))
+
+
 def _histogram(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows and limits per cell. Partial counts are made before the shuffle."""
     n = F.sum("n") if "n" in rows.columns else F.count("*")
@@ -134,20 +153,22 @@ def _cells_with_ranks(cells: DataFrame, key: Sequence[str], probs: Sequence[floa
         }
     )
     return _holding(ranked).select(
-        *key, "cell", "prob", "at", "next", "share", "before", "low", "high"
+        *key, "cell", "prob", "at", "next", "share", "before", "n", "low", "high"
     )
 
 
 def _fine_cells_with_ranks(
-    cells: DataFrame, cell_key: Sequence[str], wanted: DataFrame, small: bool
+    cells: DataFrame, cell_key: Sequence[str], fine: str, wanted: DataFrame, small: bool
 ) -> DataFrame:
     """Same for the fine cells: counts continue from the coarse cell they split."""
     ranks = wanted.select(*cell_key, "prob", "at", "next", "share", "before")
-    within = Window.partitionBy(*cell_key, "prob").orderBy("fine")
+    within = Window.partitionBy(*cell_key, "prob").orderBy(fine)
     counted = _join(cells, F.broadcast(ranks) if small else ranks, cell_key).withColumn(
         "before", F.col("before") + F.sum("n").over(within) - F.col("n")
     )
-    return _holding(counted).select(*cell_key, "fine", "prob", "at", "next", "share", "before")
+    return _holding(counted).select(
+        *cell_key, fine, "prob", "at", "next", "share", "before", "n", "low", "high"
+    )
 
 
 def _holding(cells: DataFrame) -> DataFrame:
@@ -160,8 +181,7 @@ def _keep(
 ) -> DataFrame:
     """Rows in wanted cells, with the ``carry`` columns of the cell."""
     cells = wanted.select(*key, *carry).distinct()
-    kept = rows.drop("low", "high")
-    return _join(kept, F.broadcast(cells) if small else cells, key)
+    return _join(rows, F.broadcast(cells) if small else cells, key)
 
 
 def _join(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:

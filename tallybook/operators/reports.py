@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.calibration import BANDS
-from tallybook.functions.numeric import text
+from tallybook.functions.numeric import Sql, settle, text
 from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles
 
 
+AGGREGATES = {"sum": "sum", "min": "min", "max": "max", "stddev": "stddev_pop"}
+
+
 @dataclass(frozen=True)
 class Metric:
     """One output column of a segment report."""
@@ -23,13 +26,12 @@ class Metric:
     column: str
     scale: int
 
-    def aggregate(self) -> Column:
-        c = F.col(self.column)
+    def aggregate(self) -> Sql:
         if self.kind == "avg":
-            return exact_avg(c)
+            return exact_avg(self.column)
         if self.kind == "rate":
-            return exact_avg(F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0))
-        return {"sum": F.sum, "min": F.min, "max": F.max, "stddev": F.stddev_pop}[self.kind](c)
+            return exact_avg(f"if({self.column}, 1, 0)")
+        return f"{AGGREGATES[self.kind]}({self.column})"
 
 
 def avg(name: str, column: str, scale: int = 2) -> Metric:
@@ -49,15 +51,14 @@ def median(name: str, column: str, scale: int = 2) -> Metric:
     return Metric(name, "median", column, scale)
 
 
-def exact_avg(c: Column) -> Column:
+def exact_avg(x: Sql) -> Sql:
     """Average from an exact sum, so that it does not depend on partitioning."""
-    return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0).cast("bigint"))
+    return f"CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0)"
 
 
-def report_value(x: Column, scale: int) -> Column:
-    """Round at report scale, half away from zero, after removing binary noise."""
-    guard = 8 if scale <= 2 else 12
-    return F.round(x.cast(f"decimal(38,{guard})"), scale).cast(f"decimal(28,{scale})")
+def report_value(x: Sql, scale: int) -> Sql:
+    """A figure at report scale."""
+    return f"CAST({settle(x, scale)} AS DECIMAL(28,{scale}))"
 
 
 def rank_of(column: str, labels: Sequence[str]) -> Column:
@@ -74,7 +75,7 @@ def with_share(counts: DataFrame, n: str = "applications", name: str = "pct_of_t
     """
     whole = counts.agg(F.sum(n)).scalar()
     share = F.lit(100.0) * F.col(n) / whole
-    return counts.withColumn(name, report_value(share, 2))
+    return counts.withColumn("_share", share).selectExpr("* EXCEPT (_share)", f"{report_value('_share', 2)} AS {name}")
 
 
 def record_count(df: DataFrame, name: str = "application_count") -> DataFrame:
@@ -107,7 +108,7 @@ def segment_profile(
     by = [by] if isinstance(by, str) else list(by)
     plain = [m for m in metrics if m.kind != "median"]
     out = df.groupBy(*by).agg(
-        F.count("*").alias("applications"), *[m.aggregate().alias(m.name) for m in plain]
+        F.count("*").alias("applications"), *[F.expr(m.aggregate()).alias(m.name) for m in plain]
     )
     medians = {m.name: (m.column, 0.5) for m in metrics if m.kind == "median"}
     if medians:
@@ -118,7 +119,8 @@ def segment_profile(
     if share:
         out = with_share(out)
         columns.append("pct_of_total")
-    return out.select(*columns, *[report_value(F.col(m.name), m.scale).alias(m.name) for m in metrics])
+    values = [f"{report_value(m.name, m.scale)} AS {m.name}" for m in metrics]
+    return out.selectExpr(*columns, *values)
 
 
 def matrix(df: DataFrame, by: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
@@ -155,30 +157,18 @@ def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
 
     ``scales`` gives the digits of each column's figures, 2 or 4.
     """
+    figures = [
+        f"struct(CAST(min({c}) AS DOUBLE) AS min_val, CAST(max({c}) AS DOUBLE) AS max_val,"
+        f" {exact_avg(c)} AS mean, stddev_pop({c}) AS std_dev)"
+        for c in scales
+    ]
     totals = df.agg(
-        F.count("*").alias("n"),
-        *[
-            F.struct(
-                F.min(c).cast("double").alias("min_val"),
-                F.max(c).cast("double").alias("max_val"),
-                exact_avg(F.col(c)).alias("mean"),
-                F.stddev_pop(c).alias("std_dev"),
-            ).alias(c)
-            for c in scales
-        ],
+        F.count("*").alias("n"), *[F.expr(f).alias(c) for f, c in zip(figures, scales)]
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("variable_name"),
-                F.lit(s).alias("scale"),
-                F.col("n"),
-                *[F.col(f"`{c}`.{v}").alias(v) for v in ("min_val", "max_val", "mean", "std_dev")],
-            )
-            for c, s in scales.items()
-        ]
+    rows = ", ".join(
+        f"struct({text(c)} AS variable_name, {s} AS scale, n, {c}.*)" for c, s in scales.items()
     )
-    summary = totals.select(F.inline(rows))
+    summary = totals.selectExpr(f"inline(array({rows}))")
     quartiles = (
         exact_quantiles(df, list(scales), (0.25, 0.5, 0.75))
         .groupBy("variable")
@@ -191,12 +181,11 @@ def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
     )
     joined = summary.join(quartiles, F.col("variable_name") == F.col("variable"), "left")
 
-    def rounded(name: str) -> Column:
-        two, four = (report_value(F.col(name), s).cast("decimal(28,4)") for s in (2, 4))
-        return F.when(F.col("scale") == 2, two).otherwise(four).alias(name)
-
-    values = ("min_val", "p25", "median", "mean", "p75", "max_val", "std_dev")
-    return joined.select("variable_name", "n", *[rounded(v) for v in values]).orderBy("variable_name")
+    values = [
+        f"CAST(if(scale = 2, {report_value(v, 2)}, {report_value(v, 4)}) AS DECIMAL(28,4)) AS {v}"
+        for v in ("min_val", "p25", "median", "mean", "p75", "max_val", "std_dev")
+    ]
+    return joined.selectExpr("variable_name", "n", *values).orderBy("variable_name")
 
 
 def approx_profile(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:

@@ -32,9 +32,11 @@ def rows(n, seed):
 
 
 @pytest.mark.parametrize("broadcast", [100_000, 0])
+@pytest.mark.parametrize("cell_values", [1_000_000, 3])
 @pytest.mark.parametrize("by", [(), ("g",)])
 @pytest.mark.parametrize("columns", [("x", "m", "k"), ("m", "k")])
-def test_matches_brute_force(spark, monkeypatch, broadcast, by, columns):
+def test_matches_brute_force(spark, monkeypatch, broadcast, cell_values, by, columns):
+    monkeypatch.setattr(Q, "CELL_VALUES", cell_values)
     monkeypatch.setattr(Q, "BROADCAST_ROWS", broadcast)
     data = rows(1500, 7)
     df = spark.createDataFrame(data, "g string, x double, m decimal(18,2), k int").repartition(5)
