@@ -67,15 +67,17 @@ def rank_of(column: str, labels: Sequence[str]) -> Column:
     return F.coalesce(F.nullif(known, F.lit(0)), F.lit(len(labels) + 1))
 
 
-def with_share(counts: DataFrame, n: str = "applications", name: str = "pct_of_total") -> DataFrame:
-    """Percent of the grand total, two digits.
+def with_share(
+    counts: DataFrame, rows: DataFrame, n: str = "applications", name: str = "pct_of_total"
+) -> DataFrame:
+    """Percent of all ``rows``, two digits.
 
-    The total is a scalar subquery over the group rows, so the group rows stay
-    distributed however many there are.
+    The total is a scalar subquery that counts the source without reading a column, so
+    the group rows stay distributed however many there are.
     """
-    whole = counts.agg(F.sum(n)).scalar()
-    share = F.lit(100.0) * F.col(n) / whole
-    return counts.withColumn("_share", share).selectExpr("* EXCEPT (_share)", f"{report_value('_share', 2)} AS {name}")
+    whole = rows.agg(F.count("*")).scalar()
+    share = counts.withColumn("_share", F.lit(100.0) * F.col(n) / whole)
+    return share.selectExpr("* EXCEPT (_share)", f"{report_value('_share', 2)} AS {name}")
 
 
 def record_count(df: DataFrame, name: str = "application_count") -> DataFrame:
@@ -85,7 +87,7 @@ def record_count(df: DataFrame, name: str = "application_count") -> DataFrame:
 
 def mix(df: DataFrame, by: str, order: Sequence[str] | None = None) -> DataFrame:
     """Rows and share by label, in business order or largest first."""
-    counts = with_share(df.groupBy(by).agg(F.count("*").alias("applications")))
+    counts = with_share(df.groupBy(by).agg(F.count("*").alias("applications")), df)
     if order is None:
         return counts.orderBy(F.desc("applications"), F.col(by))
     return counts.orderBy(rank_of(by, order), F.col(by))
@@ -117,7 +119,7 @@ def segment_profile(
         out = out.join(renamed, _same_group(by), "left")
     columns = [*by, "applications"]
     if share:
-        out = with_share(out)
+        out = with_share(out, df)
         columns.append("pct_of_total")
     values = [f"{report_value(m.name, m.scale)} AS {m.name}" for m in metrics]
     return out.selectExpr(*columns, *values)
