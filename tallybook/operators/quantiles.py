@@ -55,7 +55,8 @@ def exact_quantiles(
     """
     key = [*by, "variable"]
     cell_key = [*key, "cell"]
-    rows = _long_form(df, columns, by).withColumn("cell", log_cell(F.col("x")))
+    rows = long_form(df, columns, by).where(F.col("x").isNotNull())
+    rows = rows.withColumn("cell", log_cell(F.col("x")))
     cells = _histogram(rows, cell_key)
     wanted = stage(_cells_with_ranks(cells, key, probs), "cells")
     most_values = _most_values([df.schema[c].dataType for c in columns])
@@ -99,24 +100,21 @@ def grouped_quantiles(
     return long.groupBy(*by).agg(*picked)
 
 
-def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """One row per value: group columns, position of the ``variable`` and ``x``."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("variable"), F.col(c).cast("double").alias("x"))
-            for i, c in enumerate(columns)
-        ]
-    )
-    return df.select(*by, F.inline(pairs)).where(F.col("x").isNotNull())
+def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per value: group columns, position of the ``variable`` and ``x`` as double."""
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.select(*by, F.posexplode(values).alias("variable", "x"))
 
 
 def _most_values(types: Sequence[T.DataType]) -> Column:
     """Upper bound of the distinct values in the fullest cell."""
-    units = []
-    for t in types:
-        exact = isinstance(t, (T.IntegralType, T.DecimalType))
-        units.append(10.0 ** getattr(t, "scale", 0) if exact else float("inf"))
-    unit = F.element_at(F.array(*[F.lit(u) for u in units]), F.col("variable") + F.lit(1))
+    units = [
+        10.0 ** getattr(t, "scale", 0)
+        if isinstance(t, (T.IntegralType, T.DecimalType))
+        else float("inf")
+        for t in types
+    ]
+    unit = F.get(F.array(*[F.lit(u) for u in units]), F.col("variable"))
     steps = F.when(F.col("low") == F.col("high"), F.lit(1.0)).otherwise(
         (F.col("high") - F.col("low")) * unit + F.lit(1.0)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybook.calibration import BANDS
 from tallybook.functions.numeric import Sql, settle, text
-from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles
+from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles, long_form
 
 
 AGGREGATES = {"sum": "sum", "min": "min", "max": "max", "stddev": "stddev_pop"}
@@ -52,7 +52,8 @@ def median(name: str, column: str, scale: int = 2) -> Metric:
 
 
 def exact_avg(x: Sql) -> Sql:
-    """Average from an exact sum, so that it does not depend on partitioning."""
+    """Average from a sum. The sum of integers or decimals is exact, so it does not depend
+    on partitioning."""
     return f"CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0)"
 
 
@@ -155,22 +156,27 @@ def text_order(column: str) -> Column:
 
 
 def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
-    """Distribution of several columns: one aggregation and the exact quartiles.
+    """Distribution of several columns, with the exact quartiles.
 
-    ``scales`` gives the digits of each column's figures, 2 or 4.
+    ``scales`` gives the digits of each column's figures, 2 or 4. Values are taken in
+    long form: a few sums for every column at once would no longer fit one compiled
+    method, while one small set of sums by column does.
     """
-    figures = [
-        f"struct(CAST(min({c}) AS DOUBLE) AS min_val, CAST(max({c}) AS DOUBLE) AS max_val,"
-        f" {exact_avg(c)} AS mean, stddev_pop({c}) AS std_dev)"
-        for c in scales
-    ]
-    totals = df.agg(
-        F.count("*").alias("n"), *[F.expr(f).alias(c) for f, c in zip(figures, scales)]
-    )
-    rows = ", ".join(
-        f"struct({text(c)} AS variable_name, {s} AS scale, n, {c}.*)" for c, s in scales.items()
+    columns = ", ".join(f"struct({text(c)} AS variable, {s} AS scale)" for c, s in scales.items())
+    names = df.sparkSession.range(1).selectExpr(f"inline(array({columns}))")
+    label = F.get(F.array(*[F.lit(c) for c in scales]), F.col("variable")).alias("variable")
+    figures = (
+        long_form(df, list(scales))
+        .groupBy("variable")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("x").alias("min_val"),
+            F.max("x").alias("max_val"),
+            F.expr(exact_avg("x")).alias("mean"),
+            F.stddev_pop("x").alias("std_dev"),
+        )
+        .withColumn("variable", label)
     )
-    summary = totals.selectExpr(f"inline(array({rows}))")
     quartiles = (
         exact_quantiles(df, list(scales), (0.25, 0.5, 0.75))
         .groupBy("variable")
@@ -181,13 +187,14 @@ def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
             ]
         )
     )
-    joined = summary.join(quartiles, F.col("variable_name") == F.col("variable"), "left")
-
+    joined = names.join(figures, "variable", "left").join(quartiles, "variable", "left")
     values = [
         f"CAST(if(scale = 2, {report_value(v, 2)}, {report_value(v, 4)}) AS DECIMAL(28,4)) AS {v}"
         for v in ("min_val", "p25", "median", "mean", "p75", "max_val", "std_dev")
     ]
-    return joined.selectExpr("variable_name", "n", *values).orderBy("variable_name")
+    return joined.selectExpr(
+        "variable AS variable_name", "coalesce(n, 0) AS n", *values
+    ).orderBy("variable_name")
 
 
 def approx_profile(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
