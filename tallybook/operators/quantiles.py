@@ -183,10 +183,13 @@ def _keep(
 
 
 def _join(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Inner join in which NULL group keys match."""
+    """Inner join in which NULL group keys match. Variables and cells are never NULL."""
     carried = [c for c in right.columns if c not in key]
     renamed = right.select(*[F.col(c).alias(f"_{c}") for c in key], *carried)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+    first = list(key).index("variable")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key[:first]]
+    same += [F.col(c) == F.col(f"_{c}") for c in key[first:]]
+    same = reduce(lambda a, b: a & b, same)
     return left.join(renamed, same).select(*left.columns, *carried)
 
 
