@@ -1,59 +1,83 @@
-"""Checks of a finished report against what the reviewer expects to see."""
+"""Checks of a finished report against what the reviewer expects to see.
+
+Each check is a row: ``rule``, ``ok`` and the ``observed`` figure. A report is read once
+for all its checks.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.operators.reports import rank_of
-from tallybook.sources.store import stage
+from tallybook.functions.numeric import Sql, num, text
 
 
-def trend(report: DataFrame, label: str, labels: Sequence[str], value: str, rising: bool) -> DataFrame:
-    """Does a value move one way along the listed labels?
+def trends(
+    report: DataFrame, label: str, labels: Sequence[str], rising: Mapping[str, bool]
+) -> DataFrame:
+    """Does each value move one way along the listed labels?
 
-    ``observed`` counts the steps that go the wrong way. Only rows of the listed
-    labels enter the window, so it holds at most that many rows.
+    ``rising`` maps a value to its expected direction, and ``observed`` counts the steps
+    that go the wrong way. Labels the report lacks are passed over.
     """
-    listed = report.where(F.col(label).isin(*labels))
-    before = F.lag(value).over(Window.orderBy(rank_of(label, labels)))
-    wrong = (F.col(value) < before) if rising else (F.col(value) > before)
-    steps = listed.select(wrong.alias("wrong"))
-    direction = "rises" if rising else "falls"
-    return _checked(steps, f"{value} {direction} along {label}", F.count_if("wrong"), 0)
+    checks = []
+    for value, up in rising.items():
+        path = ", ".join(f"max(if({label} = {text(v)}, {value}, NULL))" for v in labels)
+        checks.append(F.expr(f"array_compact(array({path}))").alias(value))
+    paths = report.agg(*checks)
+    rows = []
+    for value, up in rising.items():
+        wrong = f"{value}[i + 1] {'<' if up else '>'} {value}[i]"
+        steps = f"size(filter(sequence(0, size({value}) - 2), i -> {wrong}))"
+        rule = f"{value} {'rises' if up else 'falls'} along {label}"
+        rows.append(_check(rule, f"CAST(if(size({value}) < 2, 0, {steps}) AS DOUBLE)", 0))
+    return _inlined(paths, rows)
 
 
 def near_target(
     report: DataFrame, label: str, targets: Mapping[str, float], tolerance: float
 ) -> DataFrame:
     """Is every listed share within ``tolerance`` percentage points of its target?"""
-    pairs = F.create_map(*[F.lit(x) for k, v in targets.items() for x in (k, float(v))])
-    gap = F.abs(F.col("pct_of_total").cast("double") - F.try_element_at(pairs, F.col(label)))
-    listed = report.where(F.col(label).isin(*targets)).select(gap.alias("gap"))
-    return _checked(listed, f"{label} share near target", F.max("gap"), tolerance)
+    pairs = ", ".join(f"{text(k)}, {num(v)}" for k, v in targets.items())
+    gap = f"abs(CAST(pct_of_total AS DOUBLE) - try_element_at(map({pairs}), {label}))"
+    gaps = report.agg(F.expr(f"max({gap})").alias("gap"))
+    return _inlined(gaps, [_check(f"{label} share near target", "gap", tolerance)])
 
 
 def at_limit(df: DataFrame, column: str, limit: str, most: float) -> DataFrame:
     """Is the share of rows that sit at a limit no more than ``most``?"""
-    at = F.when(F.col(column) >= F.expr(limit), 1).otherwise(0)
-    flagged = df.select(at.alias("at"))
-    crowd = F.sum("at").cast("double") / F.nullif(F.count("*"), F.lit(0).cast("bigint"))
-    return _checked(flagged, f"{column} at limit", crowd, most)
+    crowd = f"CAST(count_if({column} >= {limit}) AS DOUBLE) / nullif(count(*), 0)"
+    shares = df.agg(F.expr(crowd).alias("crowd"))
+    return _inlined(shares, [_check(f"{column} at limit", "crowd", most)])
 
 
-def _checked(df: DataFrame, rule: str, observed, most: float) -> DataFrame:
+def _check(rule: str, observed: Sql, most: float) -> Sql:
     return (
-        df.agg(observed.cast("double").alias("observed"))
-        .select(
-            F.lit(rule).alias("rule"),
-            (F.col("observed") <= F.lit(float(most))).alias("ok"),
-            "observed",
-        )
+        f"struct({text(rule)} AS rule, {observed} <= {num(most)} AS ok, {observed} AS observed)"
     )
 
 
+def _inlined(figures: DataFrame, checks: Sequence[Sql]) -> DataFrame:
+    return figures.selectExpr(f"inline(array({', '.join(checks)}))")
+
+
+# Direction in which each figure is expected to move.
+BAND_TRENDS = {
+    "avg_credit_score": False,
+    "avg_income": False,
+    "avg_dti": True,
+    "avg_utilization": True,
+    "avg_delinquency_count": True,
+    "major_derog_rate": True,
+    "bankruptcy_rate": True,
+    "avg_pti": True,
+    "avg_pd": True,
+}
+BUCKET_TRENDS = {"avg_pd": True, "avg_expected_loss": True}
+
+
 def review_expectations(
     mixes: DataFrame,
     bands: DataFrame,
@@ -63,29 +87,9 @@ def review_expectations(
     targets: Mapping[str, float],
     tolerance: float = 1.0,
 ) -> DataFrame:
-    """The standard set: mix on target, stronger bands look stronger, PD follows PTI.
-
-    The reports have one row per segment and feed many checks, so they are staged.
-    """
-    mixes, bands, buckets = (
-        stage(report, name) for report, name in ((mixes, "mix"), (bands, "bands"), (buckets, "buckets"))
+    """The standard set: mix on target, stronger bands look stronger, PD follows PTI."""
+    return (
+        near_target(mixes, "score_band", targets, tolerance)
+        .unionByName(trends(bands, "score_band", band_order, BAND_TRENDS))
+        .unionByName(trends(buckets, "pti_bucket", bucket_order, BUCKET_TRENDS))
     )
-    checks = [near_target(mixes, "score_band", targets, tolerance)]
-    for value, rising in (
-        ("avg_credit_score", False),
-        ("avg_income", False),
-        ("avg_dti", True),
-        ("avg_utilization", True),
-        ("avg_delinquency_count", True),
-        ("major_derog_rate", True),
-        ("bankruptcy_rate", True),
-        ("avg_pti", True),
-        ("avg_pd", True),
-    ):
-        checks.append(trend(bands, "score_band", band_order, value, rising))
-    for value in ("avg_pd", "avg_expected_loss"):
-        checks.append(trend(buckets, "pti_bucket", bucket_order, value, True))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from tallybook.calibration import BAND_WEIGHT, BANDS
 from tallybook.operators.expectations import at_limit, review_expectations
 from tallybook.operators.reports import (
+    BAND_METRICS,
     PTI_LABELS,
     REVIEW,
     band_mix,
-    band_profile,
     pti_buckets,
+    segment_profile,
 )
 from tallybook.params import Scenario
 from tallybook.sources.store import write_report
@@ -33,11 +34,15 @@ def write_review(portfolio: DataFrame, folder: str, names: Iterable[str] = tuple
 def expectations(
     portfolio: DataFrame, scenario: Scenario = Scenario(), tolerance: float = 1.0
 ) -> DataFrame:
-    """Check a portfolio against what its scenario leads one to expect."""
+    """Check a portfolio against what its scenario leads one to expect.
+
+    Medians are no part of the checks, so the band report leaves them out.
+    """
+    metrics = [m for m in BAND_METRICS if m.kind != "median"]
     targets = {b: 100 * float(getattr(scenario, w)) for b, w in BAND_WEIGHT.items()}
     checks = review_expectations(
         band_mix(portfolio),
-        band_profile(portfolio),
+        segment_profile(portfolio, "score_band", metrics),
         pti_buckets(portfolio),
         BANDS,
         PTI_LABELS,

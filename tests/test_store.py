@@ -77,8 +77,11 @@ def test_expectations_of_the_baseline(baseline):
 
 def test_expectations_find_trouble(spark, baseline):
     bands = R.band_profile(baseline)
-    wrong = X.trend(bands, "score_band", BANDS, "avg_expected_loss", True).first()
+    wrong = X.trends(bands, "score_band", BANDS, {"avg_expected_loss": True}).first()
     assert not wrong.ok and wrong.observed == 1.0
+    some = X.trends(bands, "score_band", ("PRIME", "NONE", "SUBPRIME"), {"avg_pd": True}).first()
+    assert some.ok and some.observed == 0.0
+    assert X.trends(bands, "score_band", ("NONE",), {"avg_pd": True}).first().ok
     off = X.near_target(R.band_mix(baseline), "score_band", {"PRIME": 40.0}, 1.0).first()
     assert not off.ok and off.observed > 11
     assert not X.at_limit(baseline, "estimated_pd", "0.45", 0.01).first().ok
