@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from decimal import Decimal
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 import oracle
 from tallybook.functions import draws as D
 from tallybook.functions.draws import add
+from tallybook.functions.numeric import text
 from tallybook.operators import reports as R
 from tallybook.operators import structure as S
 from tallybook.operators.borrower import with_borrower, with_score_and_term, with_segments
@@ -24,12 +26,14 @@ from tallybook.operators.risk import expected_loss, with_risk
 from tallybook.operators.structure import with_base_amount, with_structure
 from tallybook.operators.validate import domain_check, row_count_check, validate_scenarios
 from tallybook.params import FIELD_NAMES, Scenario, bind, literal
+from tallybook.plans.build import build_portfolio
 from tallybook.plans.portfolio import compare_scenarios, score_portfolio, score_scenarios
 from tallybook.plans.review import expectations
 from tallybook.schema import MULTIPLIERS
 from tallybook.session import configure
 from tallybook.sources.keys import keyed, with_ids
-from tallybook.sources.store import read_portfolio, shared_dir, stage, write_portfolio
+from tallybook.sources.store import read_portfolio, shared_dir, stage
+from tallybook.streaming.scoring import append_portfolio, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +65,7 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = with_ids(order_keys(spark, sf_dir))
-    return D.with_draws(keys, "application_id", f"'{BASE.population_id}'")
+    return D.with_draws(keys, "application_id", text(BASE.population_id))
 
 
 def borrowers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,13 +159,17 @@ def expected_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(losses.select("application_id", *columns))
 
 
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/tallybook-{uuid.uuid4().hex}/{name}"
+
+
 def stored_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write two scenarios partitioned, rebuild one of them, and read one back."""
+    """Build two scenarios in one folder, rebuild one of them, and read both back."""
     keys = order_keys(spark, sf_dir)
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark).rstrip('/')}/tallybook-store/{app}/{abs(hash(sf_dir))}"
-    write_portfolio(score_scenarios(keys, (BASE, STRESS)), path)
-    write_portfolio(score_portfolio(keys, STRESS), path)
+    path = workspace(spark, "portfolio")
+    build_portfolio(keys, (BASE, STRESS), path)
+    build_portfolio(keys, (STRESS,), path)
     counts = read_portfolio(spark, path).groupBy("scenario_name", "population_id")
     return plain(
         counts.agg(
@@ -171,6 +179,27 @@ def stored_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def streamed_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score the orders as a file stream, append them to a portfolio and read it back."""
+    orders = table(configure(spark), sf_dir, "orders")
+    files = spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet")
+    stream = files.parquet(sf_dir)
+    keys = stream.selectExpr("o_orderkey AS application_seq")
+    path = workspace(spark, "streamed")
+    append_portfolio(score_stream(keys, (BASE,)), path, f"{path}_progress").awaitTermination()
+    columns = ("application_id", "product_type", "requested_amount", "expected_loss_amount")
+    return plain(read_portfolio(spark, path).select(*columns))
+
+
+def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = with_ids(order_keys(spark, sf_dir))
+    salts = ("u1", "u8", "u15")
+    hashed = [
+        f"{D.draw_hash('application_id', text(BASE.population_id), u)} AS h_{u}" for u in salts
+    ]
+    return keys.selectExpr("application_id", *hashed)
+
+
 def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sweep(spark, sf_dir)
     return plain(compare_scenarios(rows, BASE.scenario_name, STRESS.scenario_name))
@@ -322,6 +351,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Every registered query reads whole tables."""
     return {
+        "hash_digests": digests,
         "hash_draws": lambda s, d: draws(s, d).drop("application_seq", "applicant_id"),
         "keyed_ids": lambda s, d: with_ids(order_keys(s, d)),
         "draw_category_mix": category_mix,
@@ -358,6 +388,7 @@ def queries() -> dict[str, Query]:
         "expected_loss": expected_losses,
         "scored_portfolio": lambda s, d: plain(portfolio(s, d)),
         "stored_portfolio": stored_portfolio,
+        "streamed_portfolio": streamed_portfolio,
         "scenario_sweep": sweep_rows,
         "scenario_totals": sweep_totals,
         "scenario_compare": compared,

@@ -408,7 +408,12 @@ def statements(base: Scenario, stress: Scenario, tight: Scenario) -> dict[str, s
 
     split = chosen("u", ("train", "valid", "test"), (Decimal("0.8"), Decimal("0.9")))
     flags = ("major_derogatory", "bankruptcy", "prequalified", "returning_customer")
+    digests = ", ".join(
+        f"md5(application_id || '|{base.population_id}|{u}') AS h_{u}" for u in ("u1", "u8", "u15")
+    )
     return {
+        "hash_digests": f"{one} SELECT application_id, {digests} FROM keys",
+        "streamed_portfolio": listed("product_type", "requested_amount", "expected_loss_amount"),
         "hash_draws": f"{one} SELECT application_id, "
         + ", ".join(f"u{i}" for i in range(1, DRAWS + 1))
         + " FROM drawn",

@@ -2,99 +2,89 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.calibration import BAND_WEIGHT, BANDS, PRODUCT_FIELD, PRODUCT_WEIGHT, PRODUCTS
+from tallybook.functions.numeric import Sql, text
 from tallybook.params import FIELD_NAMES
 
-MIX_TOLERANCE = 0.00001
-
-
-def _any(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+MIX_TOLERANCE = "0.00001"
 
 
-def _total(names) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(n) for n in names])
+def _any(conditions) -> Sql:
+    return " OR ".join(f"({c})" for c in conditions)
 
 
-def _show(*names: str) -> Column:
-    parts = [F.concat(F.lit(f"{n}="), F.coalesce(F.col(n).cast("string"), F.lit("NULL"))) for n in names]
-    return F.concat_ws(", ", *parts)
+def _unit_range(low: str, high: str) -> Sql:
+    return f"{low} < 0 OR {low} >= {high} OR {high} > 1"
 
 
-def _unit_range(low: str, high: str) -> Column:
-    return (F.col(low) < 0) | (F.col(low) >= F.col(high)) | (F.col(high) > 1)
+def _off_unit(weights) -> Sql:
+    return f"abs({' + '.join(weights)} - 1) > {MIX_TOLERANCE}"
 
 
-def _off_unit(names) -> Column:
-    return F.abs(_total(names) - F.lit(1).cast("decimal(12,6)")) > F.lit(MIX_TOLERANCE).cast(
-        "decimal(12,6)"
-    )
-
-
-def violations() -> dict[str, tuple[Column, Column]]:
-    """Rule name to (violation, observed values)."""
+def violations() -> dict[str, tuple[Sql, list[str]]]:
+    """Rule name to (condition that breaks it, parameters to show)."""
     products = list(PRODUCT_FIELD.values())
-    mins, maxs = [f"min_{p}_amt" for p in products], [f"max_{p}_amt" for p in products]
+    ranges = [(f"min_{p}_amt", f"max_{p}_amt") for p in products]
     rates, lgds = [f"base_rate_{p}" for p in products], [f"lgd_{p}" for p in products]
     product_mix, score_mix = list(PRODUCT_WEIGHT.values()), list(BAND_WEIGHT.values())
     return {
-        "application_count": (F.col("application_count") <= 0, _show("application_count")),
+        "application_count": ("application_count <= 0", ["application_count"]),
         "date_window": (
-            F.col("portfolio_start_date") > F.col("portfolio_end_date"),
-            _show("portfolio_start_date", "portfolio_end_date"),
+            "portfolio_start_date > portfolio_end_date",
+            ["portfolio_start_date", "portfolio_end_date"],
         ),
-        "product_mix": (_off_unit(product_mix), _show(*product_mix)),
-        "score_mix": (_off_unit(score_mix), _show(*score_mix)),
+        "product_mix": (_off_unit(product_mix), product_mix),
+        "score_mix": (_off_unit(score_mix), score_mix),
         "credit_score_bounds": (
-            F.col("min_credit_score") >= F.col("max_credit_score"),
-            _show("min_credit_score", "max_credit_score"),
+            "min_credit_score >= max_credit_score",
+            ["min_credit_score", "max_credit_score"],
         ),
         "income_bounds": (
-            (F.col("min_income") <= 0) | (F.col("min_income") >= F.col("max_income")),
-            _show("min_income", "max_income"),
+            "min_income <= 0 OR min_income >= max_income",
+            ["min_income", "max_income"],
         ),
-        "dti_bounds": (_unit_range("min_dti", "max_dti"), _show("min_dti", "max_dti")),
+        "dti_bounds": (_unit_range("min_dti", "max_dti"), ["min_dti", "max_dti"]),
         "utilization_bounds": (
             _unit_range("min_utilization", "max_utilization"),
-            _show("min_utilization", "max_utilization"),
+            ["min_utilization", "max_utilization"],
         ),
         "amount_bounds": (
-            _any(F.col(a) >= F.col(b) for a, b in zip(mins, maxs)),
-            _show(*[n for pair in zip(mins, maxs) for n in pair]),
+            _any(f"{low} >= {high}" for low, high in ranges),
+            [name for pair in ranges for name in pair],
         ),
-        "base_rates": (_any(F.col(r) <= 0 for r in rates), _show(*rates)),
-        "lgd_range": (_any((F.col(v) <= 0) | (F.col(v) >= 1) for v in lgds), _show(*lgds)),
+        "base_rates": (_any(f"{r} <= 0" for r in rates), rates),
+        "lgd_range": (_any(f"{v} <= 0 OR {v} >= 1" for v in lgds), lgds),
     }
 
 
-def strict_violations(pad: int = 8) -> dict[str, tuple[Column, Column]]:
+def strict_violations(pad: int = 8) -> dict[str, tuple[Sql, list[str]]]:
     """Further rules: gaps that the base rules let through."""
-    products = list(PRODUCT_FIELD.values())
     weights = [*PRODUCT_WEIGHT.values(), *BAND_WEIGHT.values()]
-    mins = [f"min_{p}_amt" for p in products]
+    mins = [f"min_{p}_amt" for p in PRODUCT_FIELD.values()]
     return {
-        "no_null_parameter": (
-            _any(F.col(n).isNull() for n in FIELD_NAMES),
-            F.concat_ws(", ", *[F.when(F.col(n).isNull(), F.lit(n)) for n in FIELD_NAMES]),
-        ),
-        "weights_not_negative": (_any(F.col(w) < 0 for w in weights), _show(*weights)),
-        "amount_minimums_positive": (_any(F.col(m) <= 0 for m in mins), _show(*mins)),
+        "no_null_parameter": (_any(f"{n} IS NULL" for n in FIELD_NAMES), list(FIELD_NAMES)),
+        "weights_not_negative": (_any(f"{w} < 0" for w in weights), weights),
+        "amount_minimums_positive": (_any(f"{m} <= 0" for m in mins), mins),
         "anchor_after_window": (
-            F.col("anchor_date") < F.col("portfolio_end_date"),
-            _show("anchor_date", "portfolio_end_date"),
-        ),
-        "ids_fit_width": (
-            F.col("application_count").cast("bigint") > F.lit(10**pad - 1),
-            _show("application_count"),
+            "anchor_date < portfolio_end_date",
+            ["anchor_date", "portfolio_end_date"],
         ),
+        "ids_fit_width": (f"application_count > {10**pad - 1}L", ["application_count"]),
     }
 
 
+def _check(rule: str, ok: Sql, observed: Sql) -> Sql:
+    return f"struct({text(rule)} AS rule, {ok} AS ok, {observed} AS observed)"
+
+
+def _shown(names) -> Sql:
+    parts = [f"concat('{n}=', coalesce(CAST({n} AS STRING), 'NULL'))" for n in names]
+    return f"concat_ws(', ', {', '.join(parts)})"
+
+
 def validate_scenarios(scenarios: DataFrame, strict: bool = False, pad: int = 8) -> DataFrame:
     """Check every row of a parameter table against every rule. Map-only.
 
@@ -102,17 +92,11 @@ def validate_scenarios(scenarios: DataFrame, strict: bool = False, pad: int = 8)
     against NULL parameters and a few more.
     """
     rules = violations() | (strict_violations(pad) if strict else {})
-    checks = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("rule"),
-                (~F.coalesce(broken, F.lit(False))).alias("ok"),
-                observed.alias("observed"),
-            )
-            for name, (broken, observed) in rules.items()
-        ]
+    checks = ", ".join(
+        _check(rule, f"NOT coalesce({broken}, false)", _shown(names))
+        for rule, (broken, names) in rules.items()
     )
-    return scenarios.select("scenario_name", F.inline(checks))
+    return scenarios.selectExpr("scenario_name", f"inline(array({checks}))")
 
 
 def duplicate_scenarios(scenarios: DataFrame) -> DataFrame:
@@ -137,36 +121,26 @@ def assert_valid(scenarios: DataFrame, strict: bool = False, pad: int = 8) -> No
 
 def row_count_check(df: DataFrame, expected: int) -> DataFrame:
     """Does the table have the expected number of rows?"""
-    n = F.count("*")
-    return df.agg(
-        F.lit("row_count").alias("rule"),
-        (n == F.lit(expected)).alias("ok"),
-        n.cast("string").alias("observed"),
-    ).select("rule", "ok", "observed")
+    counted = df.agg(F.count("*").alias("n"))
+    check = _check("row_count", f"n = {expected}L", "CAST(n AS STRING)")
+    return counted.selectExpr(f"inline(array({check}))")
 
 
 def domain_check(df: DataFrame) -> DataFrame:
     """Rows with a missing key or an unknown product or band, counted in one pass."""
-    counts = {
-        "application_id_present": F.count_if(F.col("application_id").isNull()),
-        "product_type_known": F.count_if(
-            F.coalesce(~F.col("product_type").isin(*PRODUCTS), F.lit(True))
-        ),
-        "score_band_known": F.count_if(F.coalesce(~F.col("score_band").isin(*BANDS), F.lit(True))),
-        "estimated_pd_present": F.count_if(F.col("estimated_pd").isNull()),
+
+    def unknown(column: str, labels) -> Sql:
+        return f"coalesce({column} NOT IN ({', '.join(text(v) for v in labels)}), true)"
+
+    wrong = {
+        "application_id_present": "application_id IS NULL",
+        "product_type_known": unknown("product_type", PRODUCTS),
+        "score_band_known": unknown("score_band", BANDS),
+        "estimated_pd_present": "estimated_pd IS NULL",
     }
-    totals = df.agg(*[c.alias(name) for name, c in counts.items()])
-    checks = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("rule"),
-                (F.col(name) == 0).alias("ok"),
-                F.col(name).cast("string").alias("observed"),
-            )
-            for name in counts
-        ]
-    )
-    return totals.select(F.inline(checks))
+    totals = df.agg(*[F.expr(f"count_if({w})").alias(rule) for rule, w in wrong.items()])
+    checks = ", ".join(_check(r, f"{r} = 0", f"CAST({r} AS STRING)") for r in wrong)
+    return totals.selectExpr(f"inline(array({checks}))")
 
 
 def duplicate_keys(df: DataFrame, key: str = "application_seq") -> DataFrame:

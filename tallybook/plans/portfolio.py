@@ -12,7 +12,7 @@ from tallybook.functions.draws import add, with_draws
 from tallybook.operators.borrower import with_borrower
 from tallybook.operators.risk import with_risk
 from tallybook.operators.structure import with_structure
-from tallybook.params import BORROWER_FIELDS, Scenario, bind
+from tallybook.params import BORROWER_FIELDS, Scenario, bind, load_scenarios
 from tallybook.schema import APPLICATION_SCHEMA, AUDIT_COLUMNS
 from tallybook.sources.keys import with_ids
 
@@ -48,7 +48,7 @@ def score_portfolio(
 
 def score_scenarios(
     keys: DataFrame,
-    scenarios: Sequence[Scenario],
+    scenarios: Sequence[Scenario] | DataFrame,
     cal: Calibration = DEFAULT,
     pad: int = 8,
     audit: bool = True,
@@ -58,8 +58,11 @@ def score_scenarios(
     Rows multiply as late as possible: draws are made once per population, borrower
     columns once per distinct set of borrower parameters, and only the structure and
     risk columns once per scenario. Rows are multiplied with a literal array, so
-    there is no join; parameters that all scenarios share stay literals.
+    there is no join; parameters that all scenarios share stay literals. Scenarios may
+    also come as a parameter table.
     """
+    if isinstance(scenarios, DataFrame):
+        scenarios = load_scenarios(scenarios)
     scenarios = list(scenarios)
     names = [(s.scenario_name, s.population_id) for s in scenarios]
     if not scenarios or len(set(names)) != len(names):

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tallybook.calibration import BANDS
 from tallybook.operators import expectations as X
 from tallybook.operators import reports as R
-from tallybook.params import Scenario
+from tallybook.params import Scenario, scenarios_df
+from tallybook.plans.build import build_portfolio
 from tallybook.plans.portfolio import score_portfolio, score_scenarios
 from tallybook.plans.review import expectations, write_review
 from tallybook.sources.keys import key_table
@@ -35,6 +36,24 @@ def test_rebuild_replaces_only_its_scenario(spark, tmp_path):
     assert {r[0]: r[1] for r in counts} == {"BASELINE": 300, "UP": 100}
 
 
+def test_build_job(spark, tmp_path):
+    path = str(tmp_path / "p")
+    build_portfolio(key_table(spark, 300), [BASE, UP], path)
+    built = build_portfolio(key_table(spark, 200), [UP], path)
+    assert built.count() == 200
+    assert read_portfolio(spark, path).count() == 500
+    with pytest.raises(ValueError, match="base_rates"):
+        build_portfolio(key_table(spark, 1), [replace(UP, base_rate_auto=0)], path)
+    missing = spark.createDataFrame([(1,), (None,)], "application_seq long")
+    with pytest.raises(ValueError, match="application_id_present"):
+        build_portfolio(missing, [UP], path)
+
+
+def test_sweep_from_a_parameter_table(spark):
+    table = scenarios_df(spark, [BASE, UP])
+    assert score_scenarios(key_table(spark, 50), table).count() == 100
+
+
 def test_stage_uses_the_shared_folder(spark):
     staged = stage(spark.range(5), "five")
     assert staged.count() == 5
