@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import asdict, dataclass, fields
+from dataclasses import dataclass, fields
 from datetime import date
 from decimal import Decimal
 
@@ -102,19 +102,13 @@ BORROWER_FIELDS = tuple(
 )
 
 
-def _typed(name: str, value):
-    if value is not None and isinstance(_field_type(name), T.DecimalType):
-        return Decimal(str(value))
-    return value
-
-
-def _row(scenario: Scenario) -> tuple:
-    return tuple(_typed(n, v) for n, v in asdict(scenario).items())
-
-
 def scenarios_df(spark: SparkSession, scenarios: Iterable[Scenario]) -> DataFrame:
     """Parameter table: one typed row per scenario."""
-    return spark.createDataFrame([_row(s) for s in scenarios], SCENARIO_SCHEMA)
+    rows = [
+        f"struct({', '.join(f'{literal(n, getattr(s, n))} AS {n}' for n in FIELD_NAMES)})"
+        for s in scenarios
+    ]
+    return spark.range(1).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def load_scenarios(df: DataFrame, limit: int = 1000) -> list[Scenario]:
