@@ -35,6 +35,11 @@ from tallybook.sources.keys import keyed, with_ids
 from tallybook.sources.store import read_portfolio, shared_dir, stage
 from tallybook.streaming.scoring import append_portfolio, score_stream
 
+try:
+    from tallybook.llm import queries as corpus
+except ModuleNotFoundError:
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 BASE = Scenario()
@@ -350,6 +355,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query reads whole tables."""
+    return scoring_queries() | (corpus.queries() if corpus else {})
+
+
+def scoring_queries() -> dict[str, Query]:
     return {
         "hash_digests": digests,
         "hash_draws": lambda s, d: draws(s, d).drop("application_seq", "applicant_id"),
@@ -422,4 +431,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the registered queries."""
-    return oracle.statements(BASE, STRESS, TIGHT)
+    return oracle.statements(BASE, STRESS, TIGHT) | (corpus.oracle_sql() if corpus else {})
