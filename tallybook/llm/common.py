@@ -46,3 +46,35 @@ def fresh(taken: Iterable[str], name: str) -> str:
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that extra columns can't clash with those an operator adds."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches that stay small where a table has very long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    return spark
+
+
+def map_rows(docs: DataFrame, columns: list[str], make, added: str) -> DataFrame:
+    """The named columns of every row and what `make(list of rows' values)` adds to them.
+
+    `make` takes a list for each column and returns a list for each added column; `added` is their
+    schema. One pass over the partitions, without a shuffle.
+    """
+    import pandas as pd
+
+    small_batches(docs.sparkSession)
+    source = pick(docs, *columns)
+    names = [part.split()[0].strip("`") for part in added.split(", ")]
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "text")
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            values = [batch[c].tolist() for c in columns]
+            new = work(*values)
+            out = {c: batch[c] for c in columns if c != "text"}
+            out.update(dict(zip(names, new)))
+            yield pd.DataFrame(out)
+
+    return source.mapInPandas(run, f"{kept}, {added}")

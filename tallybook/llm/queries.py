@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import line_spread, mixing
+from tallybook.llm import bpe, line_spread, mixing, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_pii": pii.query,
+        "op7_bpe": bpe.query,
         "op9_line_dedup": line_spread.query,
         "op10_mixing": mixing.query,
     }
