@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import bpe, ctph, line_spread, mixing, pii
+from tallybook.llm import bpe, ctph, langid, line_spread, mixing, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_pii": pii.query,
+        "op3_language": langid.query,
         "op7_bpe": bpe.query,
         "op8_fingerprints": ctph.query,
         "op9_line_dedup": line_spread.query,
