@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import bpe, ctph, langid, line_spread, mixing, pii
+from tallybook.llm import bpe, ctph, langid, line_spread, mixing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": toxicity.query,
         "op2_pii": pii.query,
         "op3_language": langid.query,
         "op7_bpe": bpe.query,
