@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import bpe, ctph, langid, line_spread, mixing, pii, toxicity
+from tallybook.llm import bpe, ctph, langid, line_spread, mixing, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": toxicity.query,
         "op2_pii": pii.query,
         "op3_language": langid.query,
+        "op5_simhash": simhash.query,
         "op7_bpe": bpe.query,
         "op8_fingerprints": ctph.query,
         "op9_line_dedup": line_spread.query,
