@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import bpe, ctph, langid, line_spread, mixing, pii, simhash, toxicity
+from tallybook.llm import bpe, ctph, langid, line_spread, mixing, mtree, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_pii": pii.query,
         "op3_language": langid.query,
         "op5_simhash": simhash.query,
+        "op6_topk": mtree.query,
         "op7_bpe": bpe.query,
         "op8_fingerprints": ctph.query,
         "op9_line_dedup": line_spread.query,
@@ -25,4 +26,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": line_spread.ORACLE_SQL}
+    return {"op6_topk": mtree.ORACLE_SQL, "op9_line_dedup": line_spread.ORACLE_SQL}
