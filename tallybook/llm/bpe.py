@@ -110,7 +110,7 @@ class Codec:
                 self.stored += len(p)
 
     def form(self, ids: list[int]) -> object:
-        return ids
+        return np.array(ids, np.int32)
 
     def run(self, texts: list[str]):
         """For each text the stored entries of its pieces, in order."""
@@ -126,8 +126,14 @@ class Codec:
                     yield [self.store[p] for p in pieces]
                 batch, size = [], 0
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [[i for _, ids, _ in entries for i in ids] for entries in self.run(texts)]
+    def encode(self, texts: list[str]) -> list[list]:
+        """Of each text the tokens, and whether they decode to the text."""
+        none = np.empty(0, np.int32)
+        ids, exact = [], []
+        for text, entries in zip(texts, self.run(texts)):
+            ids.append(np.concatenate([none, *[e[1] for e in entries]]))
+            exact.append("".join([e[2] for e in entries]) == text)
+        return [ids, exact]
 
 
 class DigestCodec(Codec):
@@ -147,14 +153,14 @@ class DigestCodec(Codec):
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id and `ids`, the tokens of the text."""
+    """doc_id, `ids`, the tokens of the text, and `exact`: whether they decode to it."""
     path = path or vocabulary()
 
     def make():
         codec = Codec(path)
-        return lambda _, texts: [codec.encode([t or "" for t in texts])]
+        return lambda _, texts: codec.encode([t or "" for t in texts])
 
-    return map_rows(docs, ["doc_id", "text"], make, "ids array<int>")
+    return map_rows(docs, ["doc_id", "text"], make, "ids array<int>, exact boolean")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,21 +16,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder that the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir.
 
-    Only a local session in which no folder is set, as in tests, gets one of its own.
+    Only a local session in which none is set, as in tests, gets one of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+    shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tallybook-"))
+        shared = tempfile.mkdtemp(prefix="tallybook-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared)
+    return shared
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, so that neither lineage nor executors are needed again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in a new folder of the shared one."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fold(modulus: int, id_column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo; a null id counts as 0."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % modulus, F.lit(0))

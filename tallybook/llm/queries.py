@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import bpe, ctph, langid, line_spread, mixing, mtree, pii, simhash, toxicity
+import corpus_pipeline
+from tallybook.llm import bpe, ctph, langid, line_spread, mixing, mtree, pii, simhash, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,14 +17,21 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": toxicity.query,
         "op2_pii": pii.query,
         "op3_language": langid.query,
+        "op4_suffix_dedup": suffixes.query,
         "op5_simhash": simhash.query,
         "op6_topk": mtree.query,
         "op7_bpe": bpe.query,
         "op8_fingerprints": ctph.query,
         "op9_line_dedup": line_spread.query,
         "op10_mixing": mixing.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": mtree.ORACLE_SQL, "op9_line_dedup": line_spread.ORACLE_SQL}
+    statements = {
+        "op6_topk": mtree.ORACLE_SQL,
+        "op9_line_dedup": line_spread.ORACLE_SQL,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
+    return {name: sql for name, sql in statements.items() if sql}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import fold, map_rows, pick, table
+from tallybook.llm.common import fold, map_rows, pick, small_batches, table
 
 FOLDS = 5
 #: Rows of the sample, clean and toxic at most.
@@ -304,7 +304,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that the model doesn't call toxic, with all their columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
+    sent = small_batches(docs.sparkSession).sparkContext.broadcast(vars(model))
     schema, at = docs.schema, docs.columns.index("text")
     names = [f"c{i}" for i in range(len(docs.columns))]
 
