@@ -53,6 +53,12 @@ def chosen(u: str, labels: Iterable[str], edges: Iterable) -> str:
     return f"[{quoted(labels)}][1 + len(list_filter({doubles(edges)}, lambda e: {u} >= e))]"
 
 
+def exact_ratio(amount: str, income: str, times: int = 1) -> str:
+    """Amount over income to six digits, half up, in whole cents; no amount is negative."""
+    a, i = (f"CAST(round({x} * 100) AS HUGEINT)" for x in (amount, income))
+    return f"(({a} * {2_000_000 * times} + {i}) // nullif(2 * {i}, 0))::DOUBLE / 1000000"
+
+
 def rounded(x: str, scale: int) -> str:
     guard = 8 if scale <= 2 else 12
     return f"round(CAST({x} AS DECIMAL(38,{guard})), {scale})::DOUBLE"
@@ -205,11 +211,11 @@ paid{tag} AS (
       WHEN 'HELOC' THEN round(CAST(requested_amount::DOUBLE * r AS DECIMAL(38,8)), 2)::DECIMAL(18,2)
       ELSE (requested_amount::DOUBLE * (r * g) / (g - 1.0::DOUBLE))::DECIMAL(18,2)
     END AS monthly_payment_proxy,
-    (requested_amount::DOUBLE / nullif(income, 0))::DECIMAL(18,6) AS amount_to_income_ratio
+    {exact_ratio('requested_amount', 'income')}::DECIMAL(18,6) AS amount_to_income_ratio
   FROM priced{tag}),
 rated{tag} AS (
   SELECT *,
-    (monthly_payment_proxy::DOUBLE / nullif(income {MONTHLY}, 0))::DECIMAL(18,6)
+    {exact_ratio('monthly_payment_proxy', 'income', 12)}::DECIMAL(18,6)
       AS payment_to_income_ratio,
     pd0 AS base_pd,
     {passed('delinquency_count_12m', delinquency_edges, delinquency_values)} AS mult_delinq,
@@ -528,8 +534,8 @@ b AS (SELECT *, pow(1.0::DOUBLE + r, term::DOUBLE) AS g,
       ELSE round(CAST(amount::DOUBLE * r AS DECIMAL(38,8)), 2)::DECIMAL(18,2) END)::DOUBLE
       AS payment FROM a)
 SELECT l_orderkey, l_linenumber, product_type, payment,
-  (amount::DOUBLE / nullif(income, 0))::DECIMAL(18,6)::DOUBLE AS amount_ratio,
-  (payment / nullif(income {MONTHLY}, 0))::DECIMAL(18,6)::DOUBLE AS payment_ratio FROM b""",
+  {exact_ratio('amount', 'income')} AS amount_ratio,
+  {exact_ratio('payment', 'income', 12)} AS payment_ratio FROM b""",
         "lineitem_profile": profiled(
             "lineitem", {"l_quantity": 2, "l_extendedprice": 2, "l_discount": 4, "l_tax": 4}
         ),

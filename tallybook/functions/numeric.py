@@ -49,6 +49,12 @@ def to_decimal(x: Sql, precision: int, scale: int) -> Sql:
     return f"CAST({units} * {unit} AS DECIMAL({precision},{scale}))"
 
 
+def quotient(money: Sql, divisor: Sql, scale: int) -> Sql:
+    """Money over an exact number, rounded half up from the exact quotient; NULL at zero."""
+    exact = f"CAST({money} AS DECIMAL(18,2)) / nullif({divisor}, 0BD)"
+    return f"CAST(round({exact}, {scale}) AS DECIMAL(18,{scale}))"
+
+
 def settle(x: Sql, scale: int) -> Sql:
     """Round a computed double at report scale after removing binary noise."""
     guard = 8 if scale <= 2 else 12

@@ -14,6 +14,7 @@ from tallybook.functions.numeric import (
     dec,
     double,
     num,
+    quotient,
     settle,
     text,
     to_decimal,
@@ -89,13 +90,14 @@ def with_amount_and_apr(df: DataFrame, params: Params, cal: Calibration = DEFAUL
 
 
 def amortizing_payment(amount: Sql, apr: Sql, term: Sql) -> Sql:
-    """Level monthly payment; NULL without a term, straight-line at a zero rate."""
+    """Level monthly payment in cents; NULL without a term, straight-line at a zero rate."""
     rate = f"({double(apr)} / 12D)"
     growth = f"pow(1D + {rate}, {double(term)})"
     level = f"{double(amount)} * ({rate} * {growth}) / ({growth} - 1D)"
     return (
         f"CASE WHEN {term} IS NULL OR {term} = 0 THEN NULL"
-        f" WHEN {apr} = 0 THEN {double(amount)} / {term} ELSE {level} END"
+        f" WHEN {apr} = 0 THEN {quotient(amount, f'CAST({term} AS DECIMAL(18,0))', 2)}"
+        f" ELSE {to_decimal(level, 18, 2)} END"
     )
 
 
@@ -109,7 +111,7 @@ def monthly_payment(
     interest = settle(f"{double(money)} * ({double(apr)} / 12D)", 2)
     return (
         f"CASE WHEN {product} IN ({amortizing})"
-        f" THEN {to_decimal(amortizing_payment(amount, apr, term), 18, 2)}"
+        f" THEN {amortizing_payment(amount, apr, term)}"
         f" WHEN {product} = 'REVOLVING_LINE' THEN CAST({minimum} AS DECIMAL(18,2))"
         f" WHEN {product} = 'HELOC' THEN CAST({interest} AS DECIMAL(18,2)) END"
     )
@@ -117,12 +119,12 @@ def monthly_payment(
 
 def amount_to_income(amount: Sql, income: Sql) -> Sql:
     """Amount over annual income; NULL at zero income."""
-    return to_decimal(f"{double(amount)} / nullif({double(income)}, 0D)", 18, 6)
+    return quotient(amount, f"CAST({income} AS DECIMAL(18,2))", 6)
 
 
 def payment_to_income(payment: Sql, income: Sql) -> Sql:
-    """Monthly payment over monthly income; NULL at zero income."""
-    return to_decimal(f"{double(payment)} / nullif({double(income)} / 12D, 0D)", 18, 6)
+    """Monthly payment over monthly income, as a year's payments over a year's income."""
+    return quotient(f"CAST({payment} AS DECIMAL(16,2)) * 12", f"CAST({income} AS DECIMAL(18,2))", 6)
 
 
 def with_payment(df: DataFrame, cal: Calibration = DEFAULT) -> DataFrame:

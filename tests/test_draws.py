@@ -219,7 +219,24 @@ def test_settle_rounds_ties_up(spark):
         f" {N.to_decimal('2.675D', 18, 2)} AS c"
     ).first()
     assert (row.a, row.b) == (Decimal("1.02"), Decimal("-1.01"))
-    assert row.c in (Decimal("2.67"), Decimal("2.68"))
+    assert row.c == Decimal("2.68")
+
+
+def test_ratios_are_exact(spark):
+    df = spark.range(1, 100_001).selectExpr(
+        "CAST(id / 100 AS DECIMAL(18,2)) AS a", "CAST(40000 + id % 7 AS DECIMAL(18,2)) AS i"
+    )
+    exact = "CAST(floor((CAST(a * 100 AS DECIMAL(38,0)) * {} + i * 100) / (2 * i * 100)) AS DECIMAL(18,0)) * 0.000001BD"
+    row = df.selectExpr(
+        f"{structure.amount_to_income('a', 'i')} <> {exact.format(2_000_000)} AS x",
+        f"{structure.payment_to_income('a', 'i')} <> {exact.format(24_000_000)} AS y",
+    ).selectExpr("count_if(x) AS x", "count_if(y) AS y", "count(*) AS n").first()
+    assert (row.x, row.y, row.n) == (0, 0, 100_000)
+    one = spark.sql(
+        f"SELECT {structure.amount_to_income('0.95BD', '100000BD')} AS ratio,"
+        f" {structure.amortizing_payment('0.42BD', '0BD', '12')} AS payment"
+    ).first()
+    assert (one.ratio, one.payment) == (Decimal("0.000010"), Decimal("0.04"))
 
 
 def test_multiplier_count():
