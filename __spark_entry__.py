@@ -65,7 +65,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed(table(configure(spark), sf_dir, "orders"), "o_orderkey")
+    spread = spark.sparkContext.defaultParallelism
+    return keyed(table(configure(spark), sf_dir, "orders"), "o_orderkey", spread)
 
 
 def draws(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +174,10 @@ def stored_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build two scenarios in one folder, rebuild one of them, and read both back."""
     keys = order_keys(spark, sf_dir)
     path = workspace(spark, "portfolio")
-    build_portfolio(keys, (BASE, STRESS), path)
-    build_portfolio(keys, (STRESS,), path)
+    n = keys.count()
+    base, stress = (replace(s, application_count=n) for s in (BASE, STRESS))
+    build_portfolio(keys, (base, stress), path)
+    build_portfolio(keys, (stress,), path)
     counts = read_portfolio(spark, path).groupBy("scenario_name", "population_id")
     return plain(
         counts.agg(
@@ -326,7 +329,7 @@ def orders_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(configure(spark), sf_dir, "orders").drop("o_orderdate")
+    orders = plain(table(configure(spark), sf_dir, "orders"))
     where = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") >= 1000)
     return R.spot_check(orders, where, [F.desc_nulls_first("o_totalprice")], 25, "o_orderkey")
 

@@ -108,15 +108,37 @@ def duplicate_scenarios(scenarios: DataFrame) -> DataFrame:
     )
 
 
+def first_rows(df: DataFrame, shown: int = 20) -> tuple[list, str]:
+    """The first rows, and a note on how many more there are."""
+    rows = df.take(shown)
+    more = df.count() - shown if len(rows) == shown else 0
+    return rows, f"; and {more} more" if more > 0 else ""
+
+
 def assert_valid(scenarios: DataFrame, strict: bool = False, pad: int = 8) -> None:
-    """Raise ``ValueError`` if any scenario breaks a rule; name the first broken rules."""
-    broken = validate_scenarios(scenarios, strict, pad).where(~F.col("ok")).take(20)
+    """Raise ``ValueError`` if any scenario breaks a rule; name the first broken rules and count the rest."""
+    broken, more = first_rows(validate_scenarios(scenarios, strict, pad).where(~F.col("ok")))
     if broken:
-        raise ValueError("; ".join(f"{r.scenario_name}: {r.rule} ({r.observed})" for r in broken))
+        raise ValueError("; ".join(f"{r.scenario_name}: {r.rule} ({r.observed})" for r in broken) + more)
     if strict:
-        twice = duplicate_scenarios(scenarios).take(20)
+        twice, more = first_rows(duplicate_scenarios(scenarios))
         if twice:
-            raise ValueError("; ".join(f"{r.scenario_name}: {r.n} rows" for r in twice))
+            raise ValueError("; ".join(f"{r.scenario_name}: {r.n} rows" for r in twice) + more)
+
+
+def key_checks(keys: DataFrame, key: str = "application_seq", pad: int = 8) -> DataFrame:
+    """Keys that are missing, negative, too long for their ids or repeated, counted."""
+    wrong = {
+        "key_present": f"{key} IS NULL",
+        "key_not_negative": f"{key} < 0",
+        "key_fits_width": f"{key} > {10**pad - 1}L",
+    }
+    per_key = keys.groupBy(key).agg(F.count("*").alias("n"))
+    sums = [F.expr(f"coalesce(sum(if({w}, n, 0)), 0)").alias(rule) for rule, w in wrong.items()]
+    twice = F.expr(f"coalesce(sum(if({key} IS NOT NULL, n - 1, 0)), 0)").alias("key_unique")
+    rules = (*wrong, "key_unique")
+    checks = ", ".join(_check(r, f"{r} = 0", f"CAST({r} AS STRING)") for r in rules)
+    return per_key.agg(*sums, twice).selectExpr(f"inline(array({checks}))")
 
 
 def row_count_check(df: DataFrame, expected: int) -> DataFrame:

@@ -111,16 +111,9 @@ def scenarios_df(spark: SparkSession, scenarios: Iterable[Scenario]) -> DataFram
     return spark.range(1).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def load_scenarios(df: DataFrame, limit: int = 1000) -> list[Scenario]:
-    """Read a parameter table back into scenario records.
-
-    A parameter table is configuration, so it has to be small: a longer one is
-    refused rather than cut.
-    """
-    rows = df.select(*FIELD_NAMES).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"parameter table has more than {limit} rows")
-    return [Scenario(**r.asDict()) for r in rows]
+def load_scenarios(df: DataFrame) -> list[Scenario]:
+    """Read a parameter table, which is configuration, back into scenario records."""
+    return [Scenario(**r.asDict()) for r in df.select(*FIELD_NAMES).collect()]
 
 
 Params = Callable[[str], str]
@@ -157,8 +150,3 @@ def bind(scenarios: Sequence[Scenario], index: str | None = None) -> Params:
         return f"element_at(array({', '.join(literal(name, v) for v in values)}), {index})"
 
     return param
-
-
-def from_columns(prefix: str = "") -> Params:
-    """Give access to parameters that are columns of the row itself."""
-    return lambda name: prefix + name

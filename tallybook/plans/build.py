@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.calibration import DEFAULT, Calibration
-from tallybook.operators.validate import assert_valid, domain_check, row_count_check
+from tallybook.operators.validate import assert_valid, domain_check, key_checks, row_count_check
 from tallybook.params import Scenario, scenarios_df
 from tallybook.plans.portfolio import score_scenarios
 from tallybook.session import configure
-from tallybook.sources.store import read_portfolio, write_portfolio
+from tallybook.sources.store import (
+    publish_portfolio,
+    read_portfolio,
+    write_portfolio,
+    written_by_stream,
+)
 
 
 def build_portfolio(
@@ -24,19 +32,37 @@ def build_portfolio(
 ) -> DataFrame:
     """Build the scenarios' portfolios at ``path`` and return their stored rows.
 
-    Stops before any work if a parameter breaks a rule, and after the write if a row
-    is missing or incomplete. Other scenarios at ``path`` stay as they are.
+    Stops before any work if a parameter breaks a rule, if a key is missing, repeated or
+    does not fit its id, or if the number of keys is not a scenario's ``application_count``.
+    Rows are written to a folder beside ``path`` and checked there; only then do they take
+    the place of the scenarios' old rows, so a failed rebuild leaves those as they were. Other
+    scenarios at ``path`` stay as they are.
     """
     spark = configure(keys.sparkSession)
+    if written_by_stream(spark, path):
+        raise ValueError(f"{path} is written by a stream")
     assert_valid(scenarios_df(spark, scenarios), strict)
-    write_portfolio(score_scenarios(keys, scenarios, cal), path)
-    names = [f"{s.scenario_name}|{s.population_id}" for s in scenarios]
-    built = read_portfolio(spark, path).where(
-        F.concat_ws("|", "scenario_name", "population_id").isin(names)
-    )
-    expected = keys.count() * len(names)
-    failed = row_count_check(built, expected).unionByName(domain_check(built)).where("NOT ok")
-    problems = [f"{r.rule} ({r.observed})" for r in failed.collect()]
+    require(key_checks(keys))
+    count = keys.count()
+    for s in scenarios:
+        if s.application_count != count:
+            raise ValueError(f"{s.scenario_name}: application_count {s.application_count}, {count} keys")
+
+    pending = f"{path.rstrip('/')}-pending-{uuid.uuid4().hex}"
+    write_portfolio(score_scenarios(keys, scenarios, cal), pending)
+    rows = read_portfolio(spark, pending)
+    require(row_count_check(rows, count * len(scenarios)).unionByName(domain_check(rows)))
+    publish_portfolio(spark, pending, path)
+
+    wanted = [
+        (F.col("scenario_name") == s.scenario_name) & (F.col("population_id") == s.population_id)
+        for s in scenarios
+    ]
+    return read_portfolio(spark, path).where(reduce(or_, wanted))
+
+
+def require(checks: DataFrame) -> None:
+    """Raise ``ValueError`` with the checks that fail; there are a handful at most."""
+    problems = [f"{r.rule} ({r.observed})" for r in checks.where("NOT ok").collect()]
     if problems:
         raise ValueError("; ".join(problems))
-    return built

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from tallybook.params import BORROWER_FIELDS, Scenario, bind, load_scenarios
 from tallybook.schema import APPLICATION_SCHEMA, AUDIT_COLUMNS
 from tallybook.sources.keys import with_ids
 
+#: Scenarios scored in one pass.
+SLICE = 200
+
 
 def with_created_ts(df: DataFrame) -> DataFrame:
     """Audit column. It differs between runs, so leave it out of comparisons."""
@@ -59,7 +63,8 @@ def score_scenarios(
     columns once per distinct set of borrower parameters, and only the structure and
     risk columns once per scenario. Rows are multiplied with a literal array, so
     there is no join; parameters that all scenarios share stay literals. Scenarios may
-    also come as a parameter table.
+    also come as a parameter table. More than ``SLICE`` scenarios are scored slice by
+    slice, each map-only, so that no expression grows with their number.
     """
     if isinstance(scenarios, DataFrame):
         scenarios = load_scenarios(scenarios)
@@ -67,7 +72,13 @@ def score_scenarios(
     names = [(s.scenario_name, s.population_id) for s in scenarios]
     if not scenarios or len(set(names)) != len(names):
         raise ValueError("scenarios need distinct scenario_name and population_id pairs")
+    slices = [scenarios[i : i + SLICE] for i in range(0, len(scenarios), SLICE)]
+    return reduce(DataFrame.unionAll, [_score(keys, s, cal, pad, audit) for s in slices])
+
 
+def _score(
+    keys: DataFrame, scenarios: Sequence[Scenario], cal: Calibration, pad: int, audit: bool
+) -> DataFrame:
     populations = _distinct(s.population_id for s in scenarios)
     borrowers = _distinct(_borrower(s) for s in scenarios)
     examples = [next(s for s in scenarios if _borrower(s) == b) for b in borrowers]
@@ -75,7 +86,7 @@ def score_scenarios(
     df = _multiply(with_ids(keys, pad=pad), "_population", None, [range(1, len(populations) + 1)])
     first = [next(s for s in scenarios if s.population_id == p) for p in populations]
     df = add(df, population_id=bind(first, "_population")("population_id"))
-    df = with_draws(df, "application_id", "population_id")
+    df = fenced(with_draws(df, "application_id", "population_id"))
 
     df = _multiply(
         df,
@@ -83,7 +94,7 @@ def score_scenarios(
         "_population",
         [[i for i, b in enumerate(borrowers, 1) if b[0] == p] for p in populations],
     )
-    df = with_borrower(df, bind(examples, "_borrower"), cal)
+    df = fenced(with_borrower(df, bind(examples, "_borrower"), cal))
 
     df = _multiply(
         df,
@@ -93,7 +104,16 @@ def score_scenarios(
     )
     params = bind(scenarios, "_scenario")
     df = add(df, scenario_name=params("scenario_name"), anchor_date=params("anchor_date"))
-    return finalize(with_risk(with_structure(df, params, cal), params, cal), audit)
+    return finalize(with_risk(fenced(with_structure(df, params, cal)), params, cal), audit)
+
+
+def fenced(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator that predicates do not cross.
+
+    A filter on a computed column would otherwise be pushed down through every projection
+    and be computed, with all that it depends on, once more for each use.
+    """
+    return df.selectExpr("inline(array(struct(*)))")
 
 
 def _borrower(scenario: Scenario) -> tuple:
@@ -129,7 +149,8 @@ def compare_scenarios(
     """Compare two scenarios of one table key by key, then by segment.
 
     Rows are matched on population and application. Segments are those of the base
-    scenario; rows that only one scenario has are counted, not dropped.
+    scenario; rows that only one scenario has are counted, not dropped. A key that a
+    scenario has twice is an error.
     """
     matched = match_scenarios(df, base, alt, by, measures)
     both = F.col("in_base") & F.col("in_alt")
@@ -153,19 +174,27 @@ def match_scenarios(
 ) -> DataFrame:
     """Base and alternative values side by side, one row per application.
 
-    On a table saved with ``save_portfolio_table`` both sides are already bucketed
-    on the join key, so the join needs no exchange.
+    One scan and one grouping by application. On a table saved with
+    ``save_portfolio_table`` the rows are already bucketed that way, so that no exchange is needed.
     """
     keys = ("population_id", "application_seq")
     by = [c for c in by if c not in keys]
-
-    def side(name: str, label: str) -> DataFrame:
-        renamed = [F.col(c).alias(f"{label}_{c}") for c in (*by, *measures)]
-        return df.where(F.col("scenario_name") == name).select(
-            *keys, *renamed, F.lit(True).alias(f"in_{label}")
-        )
-
-    joined = side(base, "base").join(side(alt, "alt"), list(keys), "full_outer")
+    of = {"base": F.col("scenario_name") == base, "alt": F.col("scenario_name") == alt}
+    values = [
+        F.max(F.when(own, F.col(c))).alias(f"{side}_{c}") for c in (*by, *measures) for side, own in of.items()
+    ]
+    counts = [F.count_if(own).alias(f"n_{side}") for side, own in of.items()]
+    grouped = df.where(of["base"] | of["alt"]).groupBy(*keys).agg(*values, *counts)
+    once = F.when(
+        (F.col("n_base") > 1) | (F.col("n_alt") > 1),
+        F.raise_error(F.concat(F.lit("application repeated in a scenario: "), F.col("application_seq").cast("string"))).cast("boolean"),
+    )
     segments = [F.coalesce(F.col(f"base_{c}"), F.col(f"alt_{c}")).alias(c) for c in by]
-    values = [F.col(f"{side}_{m}") for m in measures for side in ("base", "alt")]
-    return joined.select(*keys, *segments, *values, "in_base", "in_alt")
+    sides = [F.col(f"{side}_{m}") for m in measures for side in ("base", "alt")]
+    return grouped.select(
+        *keys,
+        *segments,
+        *sides,
+        F.coalesce(once, F.col("n_base") > 0).alias("in_base"),
+        (F.col("n_alt") > 0).alias("in_alt"),
+    )

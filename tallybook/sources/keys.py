@@ -14,23 +14,26 @@ def key_table(spark: SparkSession, n: int, partitions: int | None = None) -> Dat
     return spark.range(1, n + 1, 1, partitions).withColumnRenamed("id", "application_seq")
 
 
-def keyed(df: DataFrame, key_col: str) -> DataFrame:
+def keyed(df: DataFrame, key_col: str, partitions: int | None = None) -> DataFrame:
     """Use a column of an existing table as the application key.
 
-    Scoring adds about 40 columns to each key. A table that is read in fewer tasks
-    than the cluster runs at once is spread first, while a row is a bare 8-byte key.
-    Larger tables keep the partitions of their scan, without a shuffle.
+    Scoring adds about 40 columns to each key. Give ``partitions`` for a table that is read in
+    fewer tasks than the cluster can run: its keys are then spread while a row is a bare
+    8-byte key. Without it the table keeps the partitions of its scan, and no job runs here.
     """
     keys = df.select(F.col(key_col).cast("bigint").alias("application_seq"))
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return keys.repartition(slots) if keys.rdd.getNumPartitions() < slots else keys
+    return keys.repartition(partitions) if partitions else keys
 
 
 def padded_id(prefix: str, key: Sql, pad: int = 8) -> Sql:
-    """``prefix`` and the key, zero-padded to ``pad`` digits. Longer keys keep all digits."""
-    digits = f"CAST({key} AS STRING)"
+    """``prefix`` and the key, zero-padded to ``pad`` digits. Longer keys keep all digits.
+
+    The sign of a negative key comes before the zeros.
+    """
+    digits = f"CAST(abs({key}) AS STRING)"
+    sign = f"if({key} < 0, '-', '')"
     return (
-        f"concat({text(prefix)}, if(length({digits}) < {pad}, lpad({digits}, {pad}, '0'), {digits}))"
+        f"concat({text(prefix)}, {sign}, if(length({digits}) < {pad}, lpad({digits}, {pad}, '0'), {digits}))"
     )
 
 

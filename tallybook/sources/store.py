@@ -19,13 +19,38 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold the log of a stream? Readers of such a folder see its files only."""
+    log, fs = _folder(spark, f"{path.rstrip('/')}/_spark_metadata")
+    return fs.exists(log)
+
+
+def written_by_batch(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold partitions that no stream has written?"""
+    where, fs = _folder(spark, path)
+    if written_by_stream(spark, path) or not fs.exists(where):
+        return False
+    return any("=" in f.getPath().getName() for f in fs.listStatus(where))
+
+
 def write_portfolio(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write a portfolio, replacing only the scenarios and populations in ``df``.
 
-    Rerunning a scenario therefore rebuilds it and leaves the others alone.
+    Rerunning a scenario therefore rebuilds it and leaves the others alone. Rows are
+    rebalanced by partition first, so that the number of files follows from the data
+    and not from tasks times scenarios. A folder that a stream writes is refused.
     """
+    if written_by_stream(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; batch rows would be lost to its readers")
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *PARTITIONS)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*PARTITIONS)
@@ -33,6 +58,22 @@ def write_portfolio(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
     )
 
 
+def publish_portfolio(spark: SparkSession, pending: str, path: str) -> None:
+    """Move the partitions of a finished folder into a portfolio, each in place of its predecessor."""
+    source, fs = _folder(spark, pending)
+    for scenario in fs.listStatus(source):
+        if "=" not in scenario.getPath().getName():
+            continue
+        for population in fs.listStatus(scenario.getPath()):
+            old = population.getPath()
+            new, _ = _folder(spark, f"{path.rstrip('/')}/{scenario.getPath().getName()}/{old.getName()}")
+            fs.mkdirs(new.getParent())
+            fs.delete(new, True)
+            if not fs.rename(old, new):
+                raise OSError(f"{old} could not be moved to {new}")
+    fs.delete(source, True)
+
+
 def read_portfolio(spark: SparkSession, path: str) -> DataFrame:
     """Read a portfolio in schema order; filters on scenario and population prune files."""
     df = spark.read.schema(APPLICATION_SCHEMA).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybook.calibration import DEFAULT, Calibration
 from tallybook.params import Scenario
 from tallybook.plans.portfolio import score_scenarios
-from tallybook.sources.store import PARTITIONS
+from tallybook.sources.store import PARTITIONS, written_by_batch
 
 
 def score_stream(
@@ -23,7 +23,12 @@ def score_stream(
 def append_portfolio(
     scored: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append a scored stream to a portfolio folder, exactly once per checkpoint."""
+    """Append a scored stream to a portfolio folder of its own, exactly once per checkpoint.
+
+    A folder that a batch job has written is refused: readers would see the stream's rows only.
+    """
+    if written_by_batch(scored.sparkSession, path):
+        raise ValueError(f"{path} is written by a batch job; give the stream a folder of its own")
     writer = (
         scored.writeStream.format("parquet")
         .option("path", path)

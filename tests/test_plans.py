@@ -5,10 +5,16 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from tallybook.functions.draws import with_draws
 from tallybook.operators import reports as R
 from tallybook.params import Scenario
-from tallybook.plans.portfolio import compare_scenarios, score_portfolio, score_scenarios
-from tallybook.sources.keys import key_table, keyed
+from tallybook.plans.portfolio import (
+    compare_scenarios,
+    match_scenarios,
+    score_portfolio,
+    score_scenarios,
+)
+from tallybook.sources.keys import key_table, keyed, with_ids
 from tallybook.sources.store import (
     create_database,
     read_portfolio,
@@ -40,14 +46,37 @@ def test_sweep_is_map_only(spark):
 
 
 def test_unused_draws_are_pruned(spark):
-    text = plan(score_portfolio(key_table(spark, 1000)).select("product_type"))
+    text = plan(with_draws(with_ids(key_table(spark, 1000)), "application_id", "'P'").select("u3"))
     assert text.count("md5(") == 1
 
 
-def test_well_split_keys_are_not_shuffled(spark):
-    many = spark.range(0, 1000, 1, 64).withColumnRenamed("id", "k")
-    assert "Exchange" not in plan(keyed(many, "k"))
-    assert "Exchange" in plan(keyed(many.coalesce(1), "k"))
+def test_a_filter_does_not_repeat_the_draws(spark):
+    text = plan(R.large_exposure_low_pti(score_portfolio(key_table(spark, 1000))))
+    assert text.count("md5(") <= 15 and "Exchange" not in text
+
+
+def test_keys_are_spread_on_demand_and_without_a_job(spark):
+    ids = spark.range(0, 1000, 1, 4).withColumnRenamed("id", "k")
+    grouped = ids.groupBy("k").count()
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    assert "Exchange" not in plan(keyed(ids, "k"))
+    assert "Exchange" in plan(keyed(ids, "k", 16))
+    keyed(grouped, "k", 16)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_comparison_scans_and_exchanges_once(spark, tmp_path):
+    path = str(tmp_path / "p")
+    write_portfolio(score_scenarios(key_table(spark, 300), [BASE, UP]), path)
+    text = plan(match_scenarios(read_portfolio(spark, path), "BASELINE", "UP", ["product_type"], ["estimated_pd"]))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_repeated_keys_are_refused(spark):
+    keys = spark.createDataFrame([(1,), (1,), (2,)], "application_seq long")
+    with pytest.raises(Exception, match="application repeated"):
+        compare_scenarios(score_scenarios(keys, [BASE, UP]), "BASELINE", "UP").collect()
 
 
 def test_matrix_scans_once(baseline):
@@ -85,10 +114,8 @@ def test_bucketed_compare_joins_in_place(spark, buckets):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         saved = spark.table("books.portfolio")
-        from tallybook.plans.portfolio import match_scenarios
-
         text = plan(match_scenarios(saved, "BASELINE", "UP", ["product_type"], ["estimated_pd"]))
-        assert "Join" in text and "Exchange" not in text
+        assert "Exchange" not in text
         total = compare_scenarios(saved, "BASELINE", "UP", ("population_id",)).first()
         assert total.matched == 400
     finally:

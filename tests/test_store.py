@@ -36,17 +36,63 @@ def test_rebuild_replaces_only_its_scenario(spark, tmp_path):
     assert {r[0]: r[1] for r in counts} == {"BASELINE": 300, "UP": 100}
 
 
+def counted(n, *scenarios):
+    return [replace(s, application_count=n) for s in scenarios]
+
+
 def test_build_job(spark, tmp_path):
     path = str(tmp_path / "p")
-    build_portfolio(key_table(spark, 300), [BASE, UP], path)
-    built = build_portfolio(key_table(spark, 200), [UP], path)
+    build_portfolio(key_table(spark, 300), counted(300, BASE, UP), path)
+    built = build_portfolio(key_table(spark, 200), counted(200, UP), path)
     assert built.count() == 200
     assert read_portfolio(spark, path).count() == 500
-    with pytest.raises(ValueError, match="base_rates"):
-        build_portfolio(key_table(spark, 1), [replace(UP, base_rate_auto=0)], path)
-    missing = spark.createDataFrame([(1,), (None,)], "application_seq long")
-    with pytest.raises(ValueError, match="application_id_present"):
-        build_portfolio(missing, [UP], path)
+
+
+def test_failed_build_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "p")
+    build_portfolio(key_table(spark, 20), counted(20, UP), path)
+    bad = {
+        "base_rates": (key_table(spark, 1), counted(1, replace(UP, base_rate_auto=0))),
+        "application_count": (key_table(spark, 20), counted(50000, UP)),
+        "key_present": (spark.createDataFrame([(1,), (None,)], "application_seq long"), counted(2, UP)),
+        "key_unique": (spark.createDataFrame([(1,), (1,), (2,)], "application_seq long"), counted(3, UP)),
+        "key_fits_width": (spark.createDataFrame([(10**8,)], "application_seq long"), counted(1, UP)),
+        "key_not_negative": (spark.createDataFrame([(-5,)], "application_seq long"), counted(1, UP)),
+    }
+    for rule, (keys, scenarios) in bad.items():
+        with pytest.raises(ValueError, match=rule):
+            build_portfolio(keys, scenarios, path)
+    assert read_portfolio(spark, path).count() == 20
+
+
+def test_names_are_not_joined(spark, tmp_path):
+    path = str(tmp_path / "p")
+    a = replace(BASE, scenario_name="A|B", population_id="C", application_count=5)
+    b = replace(BASE, scenario_name="A", population_id="B|C", application_count=5)
+    build_portfolio(key_table(spark, 5), [a], path)
+    assert build_portfolio(key_table(spark, 5), [b], path).count() == 5
+
+
+def test_stream_and_batch_folders_do_not_mix(spark, tmp_path):
+    source, batch, streamed = (str(tmp_path / n) for n in ("in", "batch", "streamed"))
+    key_table(spark, 50).write.parquet(source)
+    stream = spark.readStream.schema("application_seq long").parquet(source)
+    build_portfolio(key_table(spark, 30), counted(30, BASE), batch)
+    with pytest.raises(ValueError, match="batch job"):
+        append_portfolio(score_stream(stream), batch, str(tmp_path / "c1"))
+    append_portfolio(score_stream(stream), streamed, str(tmp_path / "c2")).awaitTermination(120)
+    with pytest.raises(ValueError, match="stream"):
+        build_portfolio(key_table(spark, 30), counted(30, BASE), streamed)
+    with pytest.raises(ValueError, match="stream"):
+        write_portfolio(score_portfolio(key_table(spark, 30)), streamed)
+    assert (read_portfolio(spark, batch).count(), read_portfolio(spark, streamed).count()) == (30, 50)
+
+
+def test_files_follow_the_data(spark, tmp_path):
+    path = str(tmp_path / "p")
+    scenarios = [replace(BASE, scenario_name=f"S{i}") for i in range(4)]
+    write_portfolio(score_scenarios(key_table(spark, 2000, 16), scenarios), path)
+    assert len(read_portfolio(spark, path).inputFiles()) <= 8
 
 
 def test_sweep_from_a_parameter_table(spark):
@@ -54,6 +100,15 @@ def test_sweep_from_a_parameter_table(spark):
     assert score_scenarios(key_table(spark, 50), table).count() == 100
 
 
+def test_many_scenarios_in_slices(spark, monkeypatch):
+    from tallybook.plans import portfolio
+
+    monkeypatch.setattr(portfolio, "SLICE", 2)
+    many = [replace(BASE, scenario_name=f"S{i}") for i in range(5)]
+    rows = score_scenarios(key_table(spark, 4), scenarios_df(spark, many)).groupBy("scenario_name").count()
+    assert {r[0]: r[1] for r in rows.collect()} == {s.scenario_name: 4 for s in many}
+
+
 def test_stage_uses_the_shared_folder(spark):
     staged = stage(spark.range(5), "five")
     assert staged.count() == 5
