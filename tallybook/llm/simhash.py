@@ -213,7 +213,7 @@ def drop_copies(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -
     kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     own = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     row = fresh(docs.columns, "row")
-    one = own.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text").alias(row))
+    one = own.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias(row))
     return one.select(*[F.col(f"`{row}`.`{c}`").alias(c) for c in docs.columns])
 
 
