@@ -18,7 +18,8 @@ Each partition gives its k best for each query, and a ranking per query merges t
 Defined cases: vectors that are null, empty or hold nulls or values that are not finite take no
 part; vectors whose length differs from the most frequent one take no part either; a query with
 fewer candidates than k gives all; ties go to the smaller vec_id; repeated rows are candidates of
-their own, and a query never finds a row with its own id; null ids take no part.
+their own, but one query (with the smallest vector of that id), and a query never finds a row with
+its own id; null ids take no part.
 """
 
 from __future__ import annotations
@@ -185,7 +186,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: float = SCA
     salt = F.pmod(F.xxhash64("vec_id"), parts[F.col("cell")].cast("long"))
     indexed = placed.select((lookup[F.col("cell")] + salt).cast("int").alias("tree"), F.lit(-1).alias("block"), "vec_id", "x")
 
-    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
+    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
     blocks = max(1, -(-asked.count() // BLOCK))
     asked = asked.select(
         F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("tree"),

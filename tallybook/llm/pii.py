@@ -45,7 +45,7 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(BASE["phone"])
 URL = re.compile(r"[^\s\"'<>]+")
-NUMBER = re.compile(r"[\s:#.=-]{1,4}([A-Z]{0,4}[0-9][A-Z0-9]{2,33}(?: [A-Z0-9]{2,4}){0,8})")
+NUMBER = re.compile(r"[\s:#.=-]{1,4}([A-Z]{0,4}[0-9][A-Z0-9]{1,33}(?: [A-Z0-9]{2,4}){0,8})")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 VALUE = re.compile(r"\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,})")
 KEY_ID = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
