@@ -24,15 +24,28 @@ from tallybook.operators import structure as S
 from tallybook.operators.borrower import with_borrower, with_score_and_term, with_segments
 from tallybook.operators.risk import expected_loss, with_risk
 from tallybook.operators.structure import with_base_amount, with_structure
-from tallybook.operators.validate import domain_check, row_count_check, validate_scenarios
+from tallybook.operators.validate import (
+    domain_check,
+    key_checks,
+    row_count_check,
+    validate_scenarios,
+)
 from tallybook.params import FIELD_NAMES, Scenario, bind, literal
 from tallybook.plans.build import build_portfolio
 from tallybook.plans.portfolio import compare_scenarios, score_portfolio, score_scenarios
 from tallybook.plans.review import expectations
 from tallybook.schema import MULTIPLIERS
 from tallybook.session import configure
-from tallybook.sources.keys import keyed, with_ids
-from tallybook.sources.store import read_portfolio, shared_dir, stage
+from tallybook.sources.keys import key_table, keyed, with_ids
+from tallybook.sources.store import (
+    create_database,
+    read_portfolio,
+    read_report,
+    save_portfolio_table,
+    shared_dir,
+    stage,
+    write_report,
+)
 from tallybook.streaming.scoring import append_portfolio, score_stream
 
 try:
@@ -329,7 +342,8 @@ def orders_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = plain(table(configure(spark), sf_dir, "orders"))
+    orders = table(configure(spark), sf_dir, "orders")
+    orders = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     where = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") >= 1000)
     return R.spot_check(orders, where, [F.desc_nulls_first("o_totalprice")], 25, "o_orderkey")
 
@@ -344,6 +358,77 @@ def customer_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product mix, written as CSV and read back."""
+    mix = R.product_mix(portfolio(spark, sf_dir))
+    path = workspace(spark, "product_mix")
+    write_report(mix, path)
+    return plain(read_report(spark, path, mix.schema))
+
+
+def bucketed_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scenarios of a catalog table that is bucketed by application."""
+    rows = sweep(spark, sf_dir)
+    create_database(spark, "tallybook_reports")
+    name = f"tallybook_reports.sweep_{uuid.uuid4().hex}"
+    save_portfolio_table(rows, name, 8)
+    return plain(compare_scenarios(spark.table(name), BASE.scenario_name, STRESS.scenario_name))
+
+
+def spot_scored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A spot check straight on scored keys, without a stored table."""
+    return plain(R.large_exposure_low_pti(score_portfolio(order_keys(spark, sf_dir), BASE)))
+
+
+def key_table_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many generated keys as there are orders."""
+    keys = key_table(spark, table(spark, sf_dir, "orders").count())
+    key = F.col("application_seq")
+    return keys.agg(
+        F.count(key).alias("keys"),
+        F.min(key).alias("first_key"),
+        F.max(key).alias("last_key"),
+        F.sum(key).alias("key_sum"),
+    )
+
+
+def created_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return portfolio(spark, sf_dir).agg(
+        F.count("*").alias("applications"), F.count("created_ts").alias("created")
+    )
+
+
+def customer_key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders keyed by customer: present and short enough, but not unique."""
+    return key_checks(keyed(table(spark, sf_dir, "orders"), "o_custkey"))
+
+
+def ranked_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product mix with the place of each row in the report's order."""
+    mix = R.product_mix(portfolio(spark, sf_dir)).select("product_type", "applications")
+    return mix.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def segment_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws by market segment for every customer."""
+    segment, rest = "c_mktsegment", "*"
+    u = {i: D.hash_uniform("CAST(c_custkey AS STRING)", "'SEGMENT_V1'", f"u{i}") for i in range(1, 8)}
+    audited = D.draw_flag(u[6], 0.1)
+    drawn = add(
+        table(configure(spark), sf_dir, "customer").select("c_custkey", "c_mktsegment"),
+        visits=D.draw_int_by(segment, u[1], {"BUILDING": (10, 5), rest: (100, 50)}),
+        budget=D.draw_amount_by(segment, u[2], {"BUILDING": ("100BD", "1000BD"), rest: ("5BD", "20BD")}),
+        months=D.draw_choice_by(segment, u[3], {"BUILDING": (12, 24, 36), "MACHINERY": (6, 48)}),
+        claims=D.draw_ladder_by(
+            segment, u[4], {"BUILDING": (((0.5, 0), (0.8, 1)), 2), rest: (((0.9, 0),), 3)}
+        ),
+        sampled=D.draw_flag_by(segment, u[5], {"BUILDING": 0.25, rest: 0.5}),
+        audited=audited,
+        confirmed=D.draw_flag_given(audited, segment, u[7], {"BUILDING": 0.9, rest: 0.6}, {}),
+    )
+    return plain(drawn)
+
+
 def events_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(configure(spark), sf_dir, "events")
     events = events.withColumn("event_date", F.date_format("ts", "yyyy-MM-dd"))
@@ -429,6 +514,14 @@ def scoring_queries() -> dict[str, Query]:
         "orders_top_price": orders_top,
         "customer_balance_buckets": customer_buckets,
         "events_matrix": events_matrix,
+        "report_files": report_files,
+        "bucketed_compare": bucketed_compare,
+        "spot_scored_keys": spot_scored_keys,
+        "key_table_totals": key_table_totals,
+        "created_on_every_row": created_rows,
+        "key_checks": customer_key_checks,
+        "ranked_products": ranked_products,
+        "segment_draws": segment_draws,
     }
 
 

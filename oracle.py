@@ -417,7 +417,7 @@ def statements(base: Scenario, stress: Scenario, tight: Scenario) -> dict[str, s
     digests = ", ".join(
         f"md5(application_id || '|{base.population_id}|{u}') AS h_{u}" for u in ("u1", "u8", "u15")
     )
-    return {
+    own = {
         "hash_digests": f"{one} SELECT application_id, {digests} FROM keys",
         "streamed_portfolio": listed("product_type", "requested_amount", "expected_loss_amount"),
         "hash_draws": f"{one} SELECT application_id, "
@@ -550,7 +550,7 @@ SELECT l_orderkey, l_linenumber, product_type, payment,
             ),
         ),
         "orders_mix_priority": grouped("orders", ["o_orderpriority"], ()),
-        "orders_top_price": "SELECT * EXCLUDE (o_orderdate) FROM orders WHERE o_orderstatus = 'F'"
+        "orders_top_price": "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders WHERE o_orderstatus = 'F'"
         " AND o_totalprice >= 1000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 25",
         "customer_balance_buckets": grouped(
             balance,
@@ -564,3 +564,36 @@ SELECT l_orderkey, l_linenumber, product_type, payment,
             share=False,
         ),
     }
+    plain = "c_custkey::VARCHAR"
+    u = {i: uniform(plain, "SEGMENT_V1", f"u{i}") for i in range(1, 8)}
+    cents = "floor(({}) * 100.0::DOUBLE + 0.5::DOUBLE)::BIGINT / 100.0::DOUBLE"
+    building = "c_mktsegment = 'BUILDING'"
+    more = {
+        "report_files": own["portfolio_mix_product"],
+        "bucketed_compare": own["scenario_compare"],
+        "spot_scored_keys": own["spot_large_exposure"],
+        "key_table_totals": "SELECT n AS keys, 1::BIGINT AS first_key, n AS last_key,"
+        " (n * (n + 1) // 2)::BIGINT AS key_sum FROM (SELECT count(*) AS n FROM orders)",
+        "created_on_every_row": "SELECT count(*) AS applications, count(*) AS created FROM orders",
+        "key_checks": "SELECT rule, n = 0 AS ok, n::VARCHAR AS observed FROM (SELECT unnest(['key_present', 'key_not_negative', 'key_fits_width',"
+        " 'key_unique']) AS rule, unnest([count(*) FILTER (o_custkey IS NULL), count(*) FILTER (o_custkey < 0),"
+        " count(*) FILTER (o_custkey > 99999999), count(o_custkey) - count(DISTINCT o_custkey)]) AS n"
+        " FROM orders)",
+        "ranked_products": f"{one} SELECT product_type, n AS applications,"
+        " row_number() OVER (ORDER BY n DESC, product_type) AS place"
+        " FROM (SELECT product_type, count(*) AS n FROM scored GROUP BY ALL)",
+        "segment_draws": f"""SELECT c_custkey, c_mktsegment,
+  CASE WHEN {building} THEN floor(10 + {u[1]} * 5)::INT ELSE floor(100 + {u[1]} * 50)::INT END AS visits,
+  CASE WHEN {building} THEN {cents.format(f"100.0::DOUBLE + {u[2]} * 900.0::DOUBLE")}
+    ELSE {cents.format(f"5.0::DOUBLE + {u[2]} * 15.0::DOUBLE")} END AS budget,
+  CASE c_mktsegment WHEN 'BUILDING' THEN [12, 24, 36][1 + floor({u[3]} * 3)::INT]
+    WHEN 'MACHINERY' THEN [6, 48][1 + floor({u[3]} * 2)::INT] END AS months,
+  CASE WHEN {building} THEN CASE WHEN {u[4]} < 0.5 THEN 0 WHEN {u[4]} < 0.8 THEN 1 ELSE 2 END
+    ELSE CASE WHEN {u[4]} < 0.9 THEN 0 ELSE 3 END END AS claims,
+  {u[5]} < CASE WHEN {building} THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END AS sampled,
+  {u[6]} < 0.1::DOUBLE AS audited,
+  coalesce(CASE WHEN {u[6]} < 0.1::DOUBLE THEN {u[7]} < CASE WHEN {building} THEN 0.9::DOUBLE ELSE 0.6::DOUBLE END
+    ELSE false END, false) AS confirmed
+FROM customer""",
+    }
+    return own | more

@@ -8,11 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.calibration import BANDS
 from tallybook.functions.numeric import Sql, settle, text
-from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles, long_form
-
+from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles
 
 AGGREGATES = {"sum": "sum", "min": "min", "max": "max", "stddev": "stddev_pop"}
 
@@ -69,14 +69,10 @@ def rank_of(column: str, labels: Sequence[str]) -> Column:
 
 
 def with_share(
-    counts: DataFrame, rows: DataFrame, n: str = "applications", name: str = "pct_of_total"
+    counts: DataFrame, whole: Column, n: str = "applications", name: str = "pct_of_total"
 ) -> DataFrame:
-    """Percent of all ``rows``, two digits.
-
-    The total is a scalar subquery that counts the source without reading a column, so
-    the group rows stay distributed however many there are.
-    """
-    whole = rows.agg(F.count("*")).scalar()
+    """Percent of ``whole``, two digits. It is a scalar subquery, so the group rows stay
+    distributed however many there are."""
     share = counts.withColumn("_share", F.lit(100.0) * F.col(n) / whole)
     return share.selectExpr("* EXCEPT (_share)", f"{report_value('_share', 2)} AS {name}")
 
@@ -88,7 +84,9 @@ def record_count(df: DataFrame, name: str = "application_count") -> DataFrame:
 
 def mix(df: DataFrame, by: str, order: Sequence[str] | None = None) -> DataFrame:
     """Rows and share by label, in business order or largest first."""
-    counts = with_share(df.groupBy(by).agg(F.count("*").alias("applications")), df)
+    counts = df.groupBy(by).agg(F.count("*").alias("applications"))
+    # the total sums the same counts, so that Spark can scan and exchange once
+    counts = with_share(counts, counts.agg(F.sum("applications")).scalar())
     if order is None:
         return counts.orderBy(F.desc("applications"), F.col(by))
     return counts.orderBy(rank_of(by, order), F.col(by))
@@ -120,7 +118,7 @@ def segment_profile(
         out = out.join(renamed, _same_group(by), "left")
     columns = [*by, "applications"]
     if share:
-        out = with_share(out, df)
+        out = with_share(out, df.agg(F.count("*")).scalar())
         columns.append("pct_of_total")
     values = [f"{report_value(m.name, m.scale)} AS {m.name}" for m in metrics]
     return out.selectExpr(*columns, *values)
@@ -158,25 +156,27 @@ def text_order(column: str) -> Column:
 def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
     """Distribution of several columns, with the exact quartiles.
 
-    ``scales`` gives the digits of each column's figures, 2 or 4. Values are taken in
-    long form: a few sums for every column at once would no longer fit one compiled
-    method, while one small set of sums by column does.
+    ``scales`` gives the digits of each column's figures, 2 or 4. Counts, limits and means of
+    all columns come from one aggregation in the columns' own types, so that integers and
+    decimals stay exact.
     """
     columns = ", ".join(f"struct({text(c)} AS variable, {s} AS scale)" for c, s in scales.items())
     names = df.sparkSession.range(1).selectExpr(f"inline(array({columns}))")
-    label = F.get(F.array(*[F.lit(c) for c in scales]), F.col("variable")).alias("variable")
-    figures = (
-        long_form(df, list(scales))
-        .groupBy("variable")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("x").alias("min_val"),
-            F.max("x").alias("max_val"),
-            F.expr(exact_avg("x")).alias("mean"),
-            F.stddev_pop("x").alias("std_dev"),
-        )
-        .withColumn("variable", label)
-    )
+
+    def figure(x: Sql, scale: int) -> Sql:
+        return f"CAST({report_value(x, scale)} AS DECIMAL(28,4))"
+
+    def mean(c: str) -> Sql:
+        whole = isinstance(df.schema[c].dataType, T.IntegralType)
+        return exact_avg(f"CAST({c} AS DECIMAL(20,0))" if whole else c)
+
+    rows = [
+        f"struct({text(c)} AS variable, count({c}) AS n, {figure(f'min({c})', s)} AS min_val,"
+        f" {figure(f'max({c})', s)} AS max_val, {figure(mean(c), s)} AS mean,"
+        f" {figure(f'stddev_pop({c})', s)} AS std_dev)"
+        for c, s in scales.items()
+    ]
+    figures = df.selectExpr(f"array({', '.join(rows)}) AS _figures").selectExpr("inline(_figures)")
     quartiles = (
         exact_quantiles(df, list(scales), (0.25, 0.5, 0.75))
         .groupBy("variable")
@@ -190,6 +190,8 @@ def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
     joined = names.join(figures, "variable", "left").join(quartiles, "variable", "left")
     values = [
         f"CAST(if(scale = 2, {report_value(v, 2)}, {report_value(v, 4)}) AS DECIMAL(28,4)) AS {v}"
+        if v in ("p25", "median", "p75")
+        else v
         for v in ("min_val", "p25", "median", "mean", "p75", "max_val", "std_dev")
     ]
     return joined.selectExpr(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -20,9 +20,30 @@ from tallybook.params import Scenario
 from tallybook.sources.store import write_report
 
 
-def review(portfolio: DataFrame, names: Iterable[str] = tuple(REVIEW)) -> dict[str, DataFrame]:
-    """Review reports by name. Run them on a stored table, not on unscored keys."""
-    return {name: REVIEW[name](portfolio) for name in names}
+class Review(Mapping):
+    """Review reports by name. A report is built, and its quantiles counted, when it is asked for."""
+
+    def __init__(self, portfolio: DataFrame, names: Iterable[str]):
+        self._portfolio, self._names = portfolio, tuple(names)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = REVIEW[name](self._portfolio)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def review(portfolio: DataFrame, names: Iterable[str] = tuple(REVIEW)) -> Review:
+    """The review of a stored table; on unscored keys every report would score them again."""
+    return Review(portfolio, names)
 
 
 def write_review(portfolio: DataFrame, folder: str, names: Iterable[str] = tuple(REVIEW)) -> None:

@@ -14,6 +14,7 @@ from tallybook.plans.portfolio import (
     score_portfolio,
     score_scenarios,
 )
+from tallybook.plans.review import review
 from tallybook.sources.keys import key_table, keyed, with_ids
 from tallybook.sources.store import (
     create_database,
@@ -120,3 +121,17 @@ def test_bucketed_compare_joins_in_place(spark, buckets):
         assert total.matched == 400
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_review_is_lazy(spark, baseline):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    reports = review(baseline)
+    reports["record_count"]
+    assert len(tracker.getJobIdsForGroup(None)) == before and len(reports) == 13
+
+
+def test_profile_keeps_wide_integers(spark):
+    df = spark.createDataFrame([(9007199254740993, 1.0), (None, None)], "a long, b double")
+    rows = {r.variable_name: r for r in R.profile(df, {"a": 2, "b": 2}).collect()}
+    assert int(rows["a"].max_val) == 9007199254740993 and (rows["a"].n, rows["b"].n) == (1, 1)
