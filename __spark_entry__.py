@@ -50,7 +50,7 @@ from tallybook.streaming.scoring import append_portfolio, score_stream
 
 try:
     from tallybook.llm import queries as corpus
-except ModuleNotFoundError:
+except ImportError:
     corpus = None
 
 Query = Callable[[SparkSession, str], DataFrame]
