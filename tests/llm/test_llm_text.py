@@ -72,9 +72,18 @@ def test_bpe_equals_the_library_on_random_texts():
     rows = random.Random(4)
     parts = ["a", "b", " ", "  ", "\n", "é", "'s", "1", "<|endoftext|>", "日本", "😀", ".", "the ", "The", "x y", " "]
     texts = ["".join(rows.choices(parts, k=rows.randint(0, 3000))) for _ in range(300)]
-    ids, exact = bpe.Codec(bpe.vocabulary()).encode(texts)
+    want = plain_tokens(texts)[0]
+    for ranks in (None, bpe.ranks_of_vocabulary()):
+        ids, exact = bpe.Codec(bpe.vocabulary(), ranks).encode(texts)
+        assert [x.tolist() for x in ids] == want
+        assert all(exact)
+
+
+def test_latin_code_points_encode_alike():
+    texts = ["".join(chr(c) + " " * (c % 3) for c in range(a, a + 64)) for a in range(0, 0x250, 32)]
+    texts += [f"x{chr(c)}y {chr(c)}{chr(c)} 1{chr(c)}" for c in range(0x250)]
+    ids, _ = bpe.Codec(bpe.vocabulary(), bpe.ranks_of_vocabulary()).encode(texts)
     assert [x.tolist() for x in ids] == plain_tokens(texts)[0]
-    assert all(exact)
 
 
 def test_bpe_reuses_chunks():
