@@ -71,8 +71,8 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def map_rows(docs: DataFrame, columns: list[str], make, added: str) -> DataFrame:
-    """The named columns of every row and what `make(list of rows' values)` adds to them.
+def map_rows(docs: DataFrame, columns: list[str], make, added: str, left_out: str = "text") -> DataFrame:
+    """The named columns of every row, less the one left out, and what `make()(*values)` adds to them.
 
     `make` takes a list for each column and returns a list for each added column; `added` is their
     schema. One pass over the partitions, without a shuffle.
@@ -82,14 +82,14 @@ def map_rows(docs: DataFrame, columns: list[str], make, added: str) -> DataFrame
     small_batches(docs.sparkSession)
     source = pick(docs, *columns)
     names = [part.split()[0].strip("`") for part in added.split(", ")]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "text")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != left_out)
 
     def run(batches):
         work = make()
         for batch in batches:
             values = [batch[c].tolist() for c in columns]
             new = work(*values)
-            out = {c: batch[c] for c in columns if c != "text"}
+            out = {c: batch[c] for c in columns if c != left_out}
             out.update(dict(zip(names, new)))
             yield pd.DataFrame(out)
 

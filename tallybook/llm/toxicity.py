@@ -1,7 +1,7 @@
 """Operator 1: toxicity by weak supervision.
 
 1. Voters. From a bounded sample of labelled rows, words and word beginnings that stand out in
-   toxic texts are found by likelihood ratio and odds and dealt into lexicons. Each lexicon is a
+   toxic texts are found by likelihood ratio and odds and dealt into lexicons, one word's forms into one. Each lexicon is a
    voter, and so are fixed patterns of form (shouting, exclamation marks, repetition and so on).
 2. Votes. Every document outside the held-out fold votes; Spark counts the vote patterns, of which
    there are at most 2^voters.
@@ -23,15 +23,13 @@ to learn from every score is 0, without clean ones 1; repeated rows get equal sc
 from __future__ import annotations
 
 import math
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import fold, map_rows, pick, small_batches, table
+from tallybook.llm.common import checkpointed, fold, map_rows, pick, small_batches, table
 
 FOLDS = 5
 #: Rows of the sample, clean and toxic at most.
@@ -44,8 +42,9 @@ LEAST_ODDS = (2.5, 4.5)
 LEAST_RATIO = 16.0
 LEAST_SHARE = 0.005
 LEAST_GAIN = 0.002
-#: Votes that count as seen before any: a voter rarely speaks against a clean text.
-SURE = 20.0
+#: A lexicon's terms were chosen as rare in clean texts, so its votes get a prior: so many silent
+#: clean texts for each text that votes.
+SURE = 2.0
 SEED = 5
 EDGES = ".,;:!?\"'()[]{}<>*_-«»¿¡"
 
@@ -79,28 +78,33 @@ def patterns(text: str) -> list[bool]:
 PATTERNS = 4
 
 
-def standout(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
-    """Terms that stand out in the toxic sets, by likelihood ratio; odds below LEAST_ODDS don't count."""
-    a: Counter = Counter()
-    b: Counter = Counter()
-    for t in toxic:
-        a.update(t)
-    for t in clean:
-        b.update(t)
-    n, m = len(toxic), len(clean)
+#: The same as terms_of, in SQL.
+TERMS_SQL = "array_distinct(concat(filter(words, w -> w <> ''), {}))".format(
+    ", ".join(f"transform(filter(words, w -> length(w) > {n}), w -> concat(left(w, {n}), '*'))" for n in SIZES)
+)
+
+
+def standout(rows: DataFrame) -> list[str]:
+    """Terms that stand out in the toxic rows of (toxic, words), by likelihood ratio and odds.
+
+    Spark counts the terms; the driver gets those that a share of the toxic rows have.
+    """
+    sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    n, m = sizes.get(1, 0), sizes.get(0, 0)
+    least = max(3, LEAST_SHARE * n)  # a passage that a few texts share is no sign
+    terms = rows.selectExpr("toxic", f"explode({TERMS_SQL}) AS term").groupBy("term")
+    counts = terms.agg(F.sum("toxic").alias("x"), F.sum(1 - F.col("toxic")).alias("y"))
+    odds = f"ln((x + 0.5D) / ({n} - x + 0.5D)) - ln((y + 0.5D) / ({m} - y + 0.5D))"
+    often = counts.where(f"x >= {least}").where(f"{odds} >= if(y > 0, {LEAST_ODDS[1]}, {LEAST_ODDS[0]})")
 
     def part(seen: int, expected: float) -> float:
         return seen * math.log(seen / expected) if seen else 0.0
 
     ratio = {}
-    least = max(3, LEAST_SHARE * n)  # a passage that a few texts share is no sign
-    for term, x in a.items():
-        y = b[term]
-        odds = math.log((x + 0.5) / (n - x + 0.5)) - math.log((y + 0.5) / (m - y + 0.5))
-        if x >= least and odds >= LEAST_ODDS[y > 0]:
-            share = (x + y) / (n + m)
-            cells = ((x, share * n), (y, share * m), (n - x, (1 - share) * n), (m - y, (1 - share) * m))
-            ratio[term] = 2 * sum(part(*c) for c in cells)
+    for term, x, y in often.collect():
+        share = (x + y) / (n + m)
+        cells = ((x, share * n), (y, share * m), (n - x, (1 - share) * n), (m - y, (1 - share) * m))
+        ratio[term] = 2 * sum(part(*c) for c in cells)
     best = [t for t in ratio if ratio[t] >= LEAST_RATIO]
     return sorted(best, key=lambda t: (-ratio[t], t))[:TERMS]
 
@@ -108,7 +112,8 @@ def standout(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
 class LabelModel:
     """Class share, and each voter's vote given the class and, where correlated, its parent's vote."""
 
-    def __init__(self, voters: int):
+    def __init__(self, voters: int, lexicons: int):
+        self.lexicons = lexicons
         self.parent = [-1] * voters
         self.share = 0.1
         self.tables = np.zeros((voters, 2, 2, 2))  # voter, class, parent's vote, own vote
@@ -132,7 +137,9 @@ class LabelModel:
         for v, p in enumerate(self.parent):
             above = votes[:, p] if p >= 0 else np.zeros(len(votes), int)
             for y in (0, 1):
-                cells = np.array([[SURE, 1.0], [SURE, 1.0]]) if y == 0 else np.ones((2, 2))
+                cells = np.ones((2, 2))
+                if y == 0 and v < self.lexicons:
+                    cells[:, 0] += SURE * counts.sum()
                 np.add.at(cells, (above, votes[:, v]), mass[y])
                 self.tables[v, y] = cells / cells.sum(axis=1, keepdims=True)
 
@@ -167,8 +174,8 @@ class LabelModel:
                 self.parent[v] = p
                 stack += [(u, v) for u in links[v] if u not in seen]
 
-    def fit(self, votes: np.ndarray, counts: np.ndarray, lexicons: int, rounds: int = 50) -> None:
-        toxic = np.clip(votes[:, :lexicons].mean(axis=1) * 2, 0.02, 0.98)
+    def fit(self, votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> None:
+        toxic = np.clip(votes[:, : self.lexicons].mean(axis=1) * 2, 0.02, 0.98)
         for tree in (False, True):
             if tree:
                 self.correlate(votes, counts, toxic)
@@ -223,25 +230,41 @@ def regress(rows: list[list[int]], targets: np.ndarray, n: int, rounds: int = 30
     return w, float(base)
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, list[str], int]]:
-    """The bounded sample: rows of (toxic, words, votes of the patterns as bits)."""
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bounded sample: toxic, words, and the votes of the patterns as bits; copies count once."""
     own = pick(labels, "doc_id", "toxic").where(fold(FOLDS) != 0).where("toxic IN (0, 1) AND doc_id IS NOT NULL")
     chosen = None
     for toxic in (0, 1):
-        part = own.where(F.col("toxic") == toxic).select("doc_id", "toxic").distinct()
+        part = own.where(F.col("toxic") == toxic).select("doc_id", F.lit(toxic).alias("toxic")).distinct()
         part = part.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(PER_CLASS[toxic])
         chosen = part if chosen is None else chosen.unionByName(part)
     met = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most sum(PER_CLASS) rows
 
     def make():
-        def work(_ids, _labels, texts):
+        def work(_labels, texts):
             form = [sum(int(p) << i for i, p in enumerate(patterns(t or ""))) for t in texts]
             return [[sorted(words_of(t or "")) for t in texts], form]
 
         return work
 
-    rows = map_rows(met, ["doc_id", "toxic", "text"], make, "words array<string>, form int").collect()
-    return [(r.toxic, r.words, r.form) for r in sorted(rows, key=lambda r: r.doc_id)]
+    rows = map_rows(met, ["toxic", "text"], make, "words array<string>, form int")
+    return checkpointed(rows.dropDuplicates(["toxic", "words"]))
+
+
+def features(rows: DataFrame, found: list[str]) -> list[tuple[int, int, list[int]]]:
+    """Of each sampled row the label, the votes of the patterns and which of the terms it has."""
+    sent = rows.sparkSession.sparkContext.broadcast(found)  # at most TERMS terms
+
+    def make():
+        names = {t: i for i, t in enumerate(sent.value)}
+
+        def work(_labels, _forms, words):
+            return [[sorted(names[t] for t in terms_of(set(w)) & names.keys()) for w in words]]
+
+        return work
+
+    got = map_rows(rows, ["toxic", "form", "words"], make, "terms array<int>", left_out="words")
+    return sorted((r.toxic, r.form, list(r.terms)) for r in got.collect())
 
 
 def count_votes(docs: DataFrame, model: Model) -> list[tuple[int, int]]:
@@ -258,34 +281,32 @@ def count_votes(docs: DataFrame, model: Model) -> list[tuple[int, int]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = sample(docs, labels)
-    rows = list({(y, tuple(w)): (y, w, f) for y, w, f in rows}.values())  # copies count once
-    terms = [terms_of(set(w)) for _, w, _ in rows]
-    toxic = [t for t, (y, _, _) in zip(terms, rows) if y == 1]
-    clean = [t for t, (y, _, _) in zip(terms, rows) if y == 0]
-    if not toxic or not clean:
-        return Model(1.0 if toxic else 0.0)
+    chosen = sample(docs, labels)
+    found = standout(chosen)
+    rows = features(chosen, found)
+    truth = np.array([y for y, _, _ in rows], int)
+    if not truth.any() or truth.all():
+        return Model(1.0 if truth.any() else 0.0)
     model = Model()
-    found = standout(toxic, clean)
-    model.lexicon = {t: i % LEXICONS for i, t in enumerate(found)}
+    families = list(dict.fromkeys(t[: SIZES[0]] for t in found))  # forms of one word vote once
+    dealt = {f: i % LEXICONS for i, f in enumerate(families)}
+    model.lexicon = {t: dealt[t[: SIZES[0]]] for t in found}
     counted = count_votes(docs, model)
     voters = LEXICONS + PATTERNS
-    label = LabelModel(voters)
-    label.fit(bits([p for p, _ in counted], voters), np.array([c for _, c in counted], float), LEXICONS)
+    label = LabelModel(voters, LEXICONS)
+    label.fit(bits([p for p, _ in counted], voters), np.array([c for _, c in counted], float))
 
-    def own_votes(t: set[str], form: int) -> int:
+    def own_votes(form: int, terms: list[int]) -> int:
         out = form << LEXICONS
-        for term in t & model.lexicon.keys():
-            out |= 1 << model.lexicon[term]
+        for t in terms:
+            out |= 1 << model.lexicon[found[t]]
         return out
 
-    believed = label.posterior(bits([own_votes(t, f) for t, (_, _, f) in zip(terms, rows)], voters))
-    truth = np.array([y for y, _, _ in rows])
+    believed = label.posterior(bits([own_votes(f, t) for _, f, t in rows], voters))
     if believed[truth == 1].mean() < believed[truth == 0].mean():
         believed = 1 - believed
-    names = {t: i for i, t in enumerate(found)}
-    weights, base = regress([[names[x] for x in t & names.keys()] for t in terms], believed, len(names))
-    model.weights = {t: float(weights[i]) for t, i in names.items() if weights[i] > 0}
+    weights, base = regress([t for _, _, t in rows], believed, len(found))
+    model.weights = {t: float(w) for t, w in zip(found, weights) if w > 0}
     model.base, model.constant = base, None
     return model
 
