@@ -20,6 +20,9 @@ tasks follow by `components.roots`.
 Defined cases: null, empty and blank texts have fingerprint zero and are linked like any other;
 a text with fewer words than a shingle is one shingle; repeated rows are copies; a null id never
 names a component unless the component has no other.
+
+The pipeline's stage, `drop_copies`, has parameters of its own: five words, and a Jaccard similarity of
+0.8, which 4 bits would miss; `likeness` links its copies.
 """
 
 from __future__ import annotations
@@ -30,12 +33,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm import likeness
 from tallybook.llm.common import checkpointed, fresh, map_rows, pick, table
 from tallybook.llm.components import roots
 
 SHINGLE = 4
 BUDGET = 4
-SEED = 42
 PART = 1000
 ROWS = 150_000
 BYTES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -43,18 +46,10 @@ BYTES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The fingerprint as a signed 64-bit number."""
-    import xxhash
-
-    words = (text or "").encode("utf-8").lower().split()  # bytes: A-Z alone, ASCII white space alone
-    if not words:
+    h = likeness.shingle_hashes(text, shingle)
+    n = len(h)
+    if not n:
         return 0
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    n = max(1, len(words) - shingle + 1)
-    hashed = xxhash.xxh64_intdigest
-    spans = zip(starts[:n].tolist(), ends[min(shingle, len(words)) - 1 :].tolist())
-    h = np.fromiter((hashed(joined[a:b], SEED) for a, b in spans), np.uint64, n)
     columns = h.astype(">u8").view(np.uint8).reshape(n, 8).astype(np.int64) + np.arange(8) * 256
     seen = np.bincount(columns.ravel(), minlength=2048).reshape(8, 256)
     bits = (seen @ BYTES).ravel() * 2 > n
@@ -207,10 +202,14 @@ def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) ->
     return prints.join(met, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_copies(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """The documents that give their component its name; of rows that repeat such an id, one."""
-    found = components(docs, shingle, budget)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+def drop_copies(docs: DataFrame, shingle: int = likeness.SHINGLE, least: tuple[int, int] = likeness.LEAST) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id; of rows that repeat such an id, one.
+
+    Copies are linked by the exact Jaccard similarity of their shingles, `least` as a fraction; see `likeness`.
+    """
+    ids, tied = likeness.copies(docs, shingle, least)
+    named = ids.join(tied, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+    kept = named.groupBy("root").agg(F.min("doc_id").alias("kept_id")).select("kept_id").distinct()
     own = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     row = fresh(docs.columns, "row")
     one = own.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias(row))

@@ -172,6 +172,47 @@ def test_simhash_awkward(spark):
     assert simhash.components(no_docs(spark)).count() == simhash.drop_copies(no_docs(spark)).count() == 0
 
 
+def plain_likeness(a, b):
+    x, y = (set(tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))) if t else set() for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def plain_near(texts, least=0.8):
+    """The smallest position that each text reaches over pairs of a Jaccard similarity of `least`."""
+    own = [words("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for t in texts]
+    label = list(range(len(own)))
+    for i, a in enumerate(own):
+        for j in range(i):
+            if label[i] != label[j] and plain_likeness(a, own[j]) >= least:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_copies_are_those_of_the_exact_similarity(spark):
+    rows = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    common = rows.choices(vocabulary, k=60)
+    texts = []
+    for _ in range(25):  # copies with one to ten words changed, on both sides of 0.8
+        base = rows.choices(vocabulary, k=rows.randint(40, 160)) + common
+        for changes in (0, 1, 2, 4, 6, 8, 10):
+            own = list(base)
+            for _ in range(changes):
+                own[rows.randrange(len(own))] = rows.choice(vocabulary)
+            texts.append(" ".join(own))
+    base = rows.choices(vocabulary, k=80)
+    for _ in range(40):  # a large group in one bucket, and what only the second round compares
+        own = list(base)
+        for _ in range(rows.randint(0, 3)):
+            own[rows.randrange(80)] = rows.choice(vocabulary)
+        texts.append(" ".join(own))
+    texts += [None, "", "one", "One", "one two three four five", "one two  three four\nfive"]
+    label = plain_near(texts)
+    got = simhash.drop_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(label))
+
+
 # top-k search
 
 
