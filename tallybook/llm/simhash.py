@@ -203,16 +203,22 @@ def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) ->
 
 
 def drop_copies(docs: DataFrame, shingle: int = likeness.SHINGLE, least: tuple[int, int] = likeness.LEAST) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; of rows that repeat such an id, one.
+    """One row of each group of near copies, the one with the smallest id; a null id comes last.
 
-    Copies are linked by the exact Jaccard similarity of their shingles, `least` as a fraction; see `likeness`.
+    A row is known by its id and its text, so that different texts without an id, or with one that repeats,
+    are each judged by their own group. Copies are linked by the exact Jaccard similarity of their shingles,
+    `least` as a fraction; see `likeness`.
     """
     ids, tied = likeness.copies(docs, shingle, least)
-    named = ids.join(tied, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
-    kept = named.groupBy("root").agg(F.min("doc_id").alias("kept_id")).select("kept_id").distinct()
-    own = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    row = fresh(docs.columns, "row")
-    one = own.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias(row))
+    named = ids.join(tied, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+    kept = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("kept"))
+    key, node, same, row = (fresh(docs.columns, n) for n in ("kept_id", "node", "kept_node", "row"))
+    kept = kept.select(F.col("kept.doc_id").alias(key), F.col("kept.node").alias(same))
+    keyed = docs.withColumn(node, F.expr(likeness.NODE))
+    own = keyed.join(kept, (F.col(node) == F.col(same)) & F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
+    if not ids.groupBy("doc_id", "node").count().where(F.col("count") > 1).head(1):
+        return own.select(*[F.col(f"`{c}`") for c in docs.columns])  # no row repeats
+    one = own.groupBy(node).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias(row))
     return one.select(*[F.col(f"`{row}`.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -213,6 +213,14 @@ def test_copies_are_those_of_the_exact_similarity(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(label))
 
 
+def test_copies_without_an_id_are_judged_by_their_text(spark):
+    rows = random.Random(5)
+    a, b, c, d, e = (" ".join(rows.choices([f"w{i}" for i in range(500)], k=50)) for _ in range(5))
+    table = [(None, a), (None, b), (None, b), (None, c), (1, c), (2, d), (2, e), (2, e), (3, d)]
+    got = simhash.drop_copies(spark.createDataFrame(table, "doc_id long, text string"))
+    assert sorted(got.collect(), key=str) == sorted([(None, a), (None, b), (1, c), (2, d), (2, e)], key=str)
+
+
 # top-k search
 
 
