@@ -36,6 +36,7 @@ CAP = 2.0
 BLOCKS = 64
 SHARDS = 64
 SEED = 20240607
+ADDED = ("size", "source_size", "target", "taken", "draws")
 
 SIZE = "CAST(coalesce(regexp_count(text, '{}'), 0) AS LONG)".format(WORD.replace("\\", "\\\\"))
 
@@ -212,10 +213,9 @@ def plan(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, shards=SHARDS,
 def allocate(docs: DataFrame, **options) -> DataFrame:
     """The documents with size, source_size, target, taken, and `draws`: an array of (copy, shard)."""
     seed = options.get("seed", SEED)
-    added = ("size", "source_size", "target", "taken", "draws")
-    names = [n for n in docs.columns if n.lower() not in added]
+    names = [n for n in docs.columns if n.lower() not in ADDED]
     plans = plan(docs, **options)
-    row = fresh([*names, *added], "plan")
+    row = fresh([*names, *ADDED], "plan")
     one = plans.select(F.struct(*plans.columns).alias(row))
     met = docs.select(*[F.col(f"`{n}`") for n in names], F.expr(SIZE).alias("size")).join(
         one, F.expr(f"source <=> `{row}`.goal_source")
@@ -249,14 +249,16 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as drawn, in shards that are shuffled locally."""
     names = docs.columns
     shards, seed = options.get("shards", SHARDS), options.get("seed", SEED)
-    dealt, order = fresh(names, "dealt"), fresh(names, "order_key")
-    rows = allocate(docs, **options).select(
-        *[F.col(f"`{n}`") if n.lower() not in ("size", "source_size", "target", "taken", "draws") else F.lit(None).alias(n) for n in names],
-        F.explode("draws").alias(dealt),
-    )
+    held, taken = [], [*names, *ADDED]  # columns of the documents that `allocate` has too go by other names
+    for n in names:
+        held.append(fresh(taken, f"own_{n}") if n.lower() in ADDED else n)
+        taken.append(held[-1])
+    dealt, order = fresh(taken, "dealt"), fresh(taken, "order_key")
+    rows = allocate(docs.toDF(*held), **options).select(*[F.col(f"`{n}`") for n in held], F.explode("draws").alias(dealt))
     rows = rows.withColumn(order, F.expr(f"xxhash64({seed}, doc_id, `{dealt}`.copy)"))
     spread = rows.repartition(shards, F.col(f"`{dealt}`.shard"))
-    return spread.sortWithinPartitions(f"`{dealt}`.shard", order).select(*[F.col(f"`{n}`") for n in names])
+    shuffled = spread.sortWithinPartitions(f"`{dealt}`.shard", order)
+    return shuffled.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(held, names)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -314,6 +314,15 @@ def test_mix_gives_whole_shards(spark):
     assert mixing.mix(no_docs(spark)).count() == 0
 
 
+def test_mix_passes_clashing_columns_through(spark):
+    rows = [(i, f"one two {i}", "ab"[i % 2], f"x{i}", [i], float(i), f"y{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, Size string, draws array<int>, target double, own_size string")
+    mixed = mixing.mix(docs, shards=4)
+    assert mixed.dtypes == docs.dtypes
+    assert {str(tuple(r)) for r in mixed.collect()} <= {str(tuple(r)) for r in docs.collect()}
+    assert mixed.count() > 20
+
+
 def test_shards_get_exact_quotas(spark):
     quotas = spark.createDataFrame([(1, 70), (2, 0), (3, 31), (4, 7)], "nth int, draws int")
     cuts = {r.nth: r.cuts for r in mixing.shard_cuts(quotas, 8, 3).collect()}
