@@ -8,6 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,33 +65,51 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
-def small_batches(spark: SparkSession) -> SparkSession:
-    """Arrow batches that stay small where a table has very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
-    return spark
+#: Rows that a task turns into Python objects at once.
+SLICE = 500
 
 
-def map_rows(docs: DataFrame, columns: list[str], make, added: str, left_out: str = "text") -> DataFrame:
-    """The named columns of every row, less the one left out, and what `make()(*values)` adds to them.
+def map_batches(source: DataFrame, columns: list[str], kept: list[str], make, added: str, keep=None) -> DataFrame:
+    """Columns `kept` of every row as they came, and what `make()(*lists)` adds to them; map-only.
 
-    `make` takes a list for each column and returns a list for each added column; `added` is their
-    schema. One pass over the partitions, without a shuffle.
+    `make` takes a list for each of `columns` and returns a list for each added column, whose schema
+    is `added`. The kept columns never leave Arrow, so that ids stay exact whatever stands beside them. `keep`
+    may turn the added lists into a list of booleans, which rows to keep; nothing is added then.
+    Positions stand for names inside, so that names may clash.
     """
-    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    small_batches(docs.sparkSession)
-    source = pick(docs, *columns)
-    names = [part.split()[0].strip("`") for part in added.split(", ")]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != left_out)
+    fields = source.schema.fields
+    at = {f.name: i for i, f in enumerate(fields)}
+    new = T.StructType.fromDDL(added).fields if added else []
+    types = [to_arrow_type(f.dataType) for f in new]
+    use, held = [at[c] for c in columns], [at[c] for c in kept]
 
     def run(batches):
         work = make()
-        for batch in batches:
-            values = [batch[c].tolist() for c in columns]
-            new = work(*values)
-            out = {c: batch[c] for c in columns if c != left_out}
-            out.update(dict(zip(names, new)))
-            yield pd.DataFrame(out)
-
-    return source.mapInPandas(run, f"{kept}, {added}")
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                out = work(*[batch.column(i).to_pylist() for i in use])
+                if keep:
+                    batch, out = batch.filter(pa.array(keep(*out), pa.bool_())), []
+                arrays = [batch.column(i) for i in held]
+                arrays += [pa.array(list(values), kind) for values, kind in zip(out, types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    names = [f"c{i}" for i in range(len(held) + len(new))]
+    final = [*[fields[i] for i in held], *new]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, final)])
+    inner = source.toDF(*[f"c{i}" for i in range(len(fields))])
+    return inner.mapInArrow(run, schema).toDF(*[f.name for f in final])
+
+
+def map_rows(docs: DataFrame, columns: list[str], make, added: str, left_out: str = "text") -> DataFrame:
+    """The named columns of every row, less the one left out, and what `make()(*values)` adds to them."""
+    return map_batches(pick(docs, *columns), columns, [c for c in columns if c != left_out], make, added)
+
+
+def filter_rows(docs: DataFrame, column: str, make) -> DataFrame:
+    """The rows, with all their columns, for which `make()(values)` gives true."""
+    return map_batches(docs, [column], docs.columns, make, "", keep=lambda flags: flags)

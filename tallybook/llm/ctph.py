@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import map_rows, pick, small_batches, table
+from tallybook.llm.common import map_rows, pick, table
 
 WINDOW = 7
 DIGITS = 64
@@ -198,7 +198,6 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness; see `query`."""
     import pandas as pd
 
-    small_batches(docs.sparkSession)
     ranged = neighbour_ranges(docs)
     dealt = ranged.repartition(F.col("place")).sortWithinPartitions(
         "place", "marked", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")
@@ -216,9 +215,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            ids = batch["doc_id"].astype("Int64")
-            for doc_id, text, place, marked in zip(ids, batch["text"], batch["place"], batch["marked"]):
+            for doc_id, text, place, marked in zip(batch["known"], batch["text"], batch["place"], batch["marked"]):
                 text = text or ""
+                doc_id = None if doc_id is None else int(doc_id)
                 if held and held[0] != place:
                     held = None
                 if marked and not held:
@@ -227,9 +226,12 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 if held:
                     out.append(row(*held[1:], text, own))
                 held = None if marked else (place, doc_id, text, own)
-            yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
+            columns = dict(zip(COLUMNS, zip(*out))) if out else {n: [] for n in COLUMNS}
+            columns["doc_id"] = pd.array(list(columns["doc_id"]), dtype="Int64")  # exact beside nulls
+            yield pd.DataFrame(columns)
 
-    return dealt.mapInPandas(run, SCHEMA)
+    # the id travels as text: a null among them would make pandas hold all of them as doubles
+    return dealt.selectExpr("CAST(doc_id AS STRING) AS known", "text", "place", "marked").mapInPandas(run, SCHEMA)
 
 
 SCHEMA = (

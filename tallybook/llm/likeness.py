@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import checkpointed, map_rows, pick, small_batches
+from tallybook.llm.common import checkpointed, map_rows, pick
 from tallybook.llm.components import roots
 
 SHINGLE = 5
@@ -116,7 +116,6 @@ def prefixes(docs: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame
             columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
             yield pd.DataFrame(dict(zip(HELD, columns)))
 
-    small_batches(docs.sparkSession)
     return docs.selectExpr(f"{NODE} AS node", "text").mapInPandas(run, "token bigint, node bigint, n bigint, pos bigint")
 
 
@@ -148,7 +147,6 @@ def by_bucket(rows: DataFrame, work, schema: str) -> DataFrame:
         if size:
             yield pd.DataFrame(work(whole(held)))
 
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     return rows.repartition("token").sortWithinPartitions("token", "node").mapInPandas(run, schema)
 
 

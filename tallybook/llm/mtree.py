@@ -166,7 +166,6 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: float = SCA
     import pandas as pd
 
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     rows = integers(vectors, scale)
     pivots = rows.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(PIVOTS).collect()
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallybook.llm import bpe, ctph, langid, line_spread, mixing, mtree, pii, simhash, suffixes, toxicity
+from tallybook.llm import (
+    bpe,
+    ctph,
+    fim,
+    langid,
+    line_spread,
+    mixing,
+    mtree,
+    pii,
+    simhash,
+    suffixes,
+    toxicity,
+    vector_codes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +37,8 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": ctph.query,
         "op9_line_dedup": line_spread.query,
         "op10_mixing": mixing.query,
+        "op12_vector_codes": vector_codes.query,
+        "op13_fim": fim.query,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -32,6 +47,8 @@ def oracle_sql() -> dict[str, str]:
     statements = {
         "op6_topk": mtree.ORACLE_SQL,
         "op9_line_dedup": line_spread.ORACLE_SQL,
+        "op12_vector_codes": vector_codes.ORACLE_SQL,
+        "op13_fim": fim.ORACLE_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: sql for name, sql in statements.items() if sql}

@@ -184,8 +184,6 @@ def links(distinct: DataFrame, budget: int = BUDGET) -> DataFrame:
         if size:
             yield flush(pd.concat(held, ignore_index=True))
 
-    spark = distinct.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     return sorted_.mapInPandas(run, "u bigint, v bigint")
 
 

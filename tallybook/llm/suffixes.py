@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import pick, small_batches, table
+from tallybook.llm.common import pick, table
 
 MIN_BYTES = 50
 GRAM = 20
@@ -124,10 +124,10 @@ class Block:
         self.min_bytes = min_bytes
         marked = rows[rows["copy"]]
         copies = set(zip(marked["doc_id"], marked["h1"], marked["h2"]))
-        docs = rows[~rows["copy"]].sort_values(["doc_id", "h1", "h2"], kind="stable", na_position="last")
+        docs = rows[~rows["copy"]].sort_values(["unknown", "doc_id", "h1", "h2"], kind="stable")
         self.docs = []
-        for doc_id, h1, h2, text in zip(docs["doc_id"], docs["h1"], docs["h2"], docs["text"]):
-            known = not pd.isna(doc_id)
+        for doc_id, unknown, h1, h2, text in zip(*[docs[c] for c in ("doc_id", "unknown", "h1", "h2", "text")]):
+            known = not unknown
             data = np.frombuffer((text or "").encode("utf-8"), np.uint8)
             copied = known and (doc_id, h1, h2) in copies
             self.docs.append((int(doc_id) if known else None, data, copied))
@@ -357,8 +357,10 @@ def result_rows(own: Block, answers: pd.DataFrame, buckets: int, keep_bytes: boo
         spans = [{"start": int(a), "end": int(b)} for a, b in zip(first, last)] if keep_bytes else None
         digest = hashlib.sha256(kept).hexdigest()
         out.append((doc_id, len(data), int(gone.sum()), len(first), digest, kept if keep_bytes else None, spans))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
-    return frame.astype({"doc_id": "Int64"})
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
+    columns = dict(zip(names, zip(*out))) if out else {n: [] for n in names}
+    columns["doc_id"] = pd.array(list(columns["doc_id"]), dtype="Int64")  # exact beside nulls
+    return pd.DataFrame(columns)
 
 
 RESULT = (
@@ -371,7 +373,6 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_bytes: bool = True)
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `keep_bytes` what is left and the removed spans."""
     if min_bytes < GRAM:
         raise ValueError(f"min_bytes must be {GRAM} or more")
-    small_batches(docs.sparkSession)
     rows = pick(docs, "doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = buckets = max(LEAST_BLOCKS, -(-total // BLOCK_BYTES))
@@ -381,8 +382,10 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_bytes: bool = True)
     first = skinny.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
     copies = skinny.join(first, ["h1", "h2"]).where("doc_id > least").select("doc_id", "h1", "h2").distinct()
     block = f"CAST(pmod(xxhash64(doc_id, h1, h2), {blocks}) AS INT) AS block"
-    both = hashed.selectExpr(block, "doc_id", "h1", "h2", "text", "false AS copy").unionByName(
-        copies.selectExpr(block, "doc_id", "h1", "h2", "CAST(NULL AS STRING) AS text", "true AS copy")
+    # a null among the ids of a block would make pandas hold all of them as doubles
+    own = ("coalesce(doc_id, 0L) AS doc_id", "doc_id IS NULL AS unknown", "h1", "h2")
+    both = hashed.selectExpr(block, *own, "text", "false AS copy").unionByName(
+        copies.selectExpr(block, *own, "CAST(NULL AS STRING) AS text", "true AS copy")
     )
 
     def first_step(key, own):

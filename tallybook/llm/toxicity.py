@@ -24,12 +24,10 @@ from __future__ import annotations
 
 import math
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallybook.llm.common import checkpointed, fold, map_rows, pick, small_batches, table
+from tallybook.llm.common import checkpointed, filter_rows, fold, map_rows, pick, table
 
 FOLDS = 5
 #: Rows of the sample, clean and toxic at most.
@@ -324,20 +322,20 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents that the model doesn't call toxic, with all their columns."""
-    sent = small_batches(docs.sparkSession).sparkContext.broadcast(vars(model))
-    schema, at = docs.schema, docs.columns.index("text")
-    names = [f"c{i}" for i in range(len(docs.columns))]
+    """The documents that the model doesn't call toxic, with all their columns.
 
-    def run(batches):
+    A model that could not be learned, for want of labels of one kind, rejects nothing.
+    """
+    if model.constant is not None:
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def make():
         own = Model()
         vars(own).update(sent.value)
-        for batch in batches:
-            keep = [own.score(t or "") < 0.5 for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        return lambda texts: [[own.score(t or "") < 0.5 for t in texts]]
 
-    plain = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema.fields)])
-    return docs.toDF(*names).mapInArrow(run, plain).toDF(*docs.columns)
+    return filter_rows(docs, "text", make)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
