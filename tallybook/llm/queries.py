@@ -15,6 +15,7 @@ from tallybook.llm import (
     line_spread,
     mixing,
     mtree,
+    near_vectors,
     pii,
     simhash,
     suffixes,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": ctph.query,
         "op9_line_dedup": line_spread.query,
         "op10_mixing": mixing.query,
+        "op11_near_vectors": near_vectors.query,
         "op12_vector_codes": vector_codes.query,
         "op13_fim": fim.query,
         "pipeline": corpus_pipeline.run,
@@ -47,6 +49,7 @@ def oracle_sql() -> dict[str, str]:
     statements = {
         "op6_topk": mtree.ORACLE_SQL,
         "op9_line_dedup": line_spread.ORACLE_SQL,
+        "op11_near_vectors": near_vectors.ORACLE_SQL,
         "op12_vector_codes": vector_codes.ORACLE_SQL,
         "op13_fim": fim.ORACLE_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
