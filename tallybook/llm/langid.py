@@ -9,12 +9,15 @@ between the margins and its codeword, each bit weighted by the classifier's accu
 sample that it did not learn from. The score is the softmax of the negative losses; a text is
 `ambiguous` if the two best languages are closer than `MARGIN` of the total weight.
 
-Fitting uses a bounded sample: of each language the `PER_LANGUAGE` rows with the smallest hash of
-the id, and of each the first `TRAIN_CHARS` code points. Every whole text is scored.
+Fitting uses a bounded sample of whole texts: the rows with the smallest hashes of the id, `PER_LANGUAGE` of
+each language at most, fewer where there are so many languages that all would have more than `ROWS`, but
+`FEWEST` of each. Every whole text is scored.
 
 Defined cases: null texts and texts without a letter get `und`, score 0; rows with a null language
 are not learned from; without any row to learn from every text gets `und`; with one language, that
-one; repeated rows get equal results; ties go to the language that sorts first.
+one, and there is no limit on languages; repeated rows get equal results, of rows to learn from that share id and
+language the text that sorts first counts; ties go to the language that sorts first; a text of any length is
+counted at once, in memory of some 40 bytes a code point; an empty table gives an empty one; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -28,13 +31,14 @@ from tallybook.llm.common import fold, map_rows, pick, table
 
 BITS = 15
 DIM_BITS = 15
+#: Rows of the sample: so many a language at most, and so many in all, but some of each language.
 PER_LANGUAGE = 1500
-TRAIN_CHARS = 2000
+ROWS = 6000
+FEWEST = 16
 EPOCHS = 12
 RATE = 2.0
 MARGIN = 0.1
 SEED = 11
-LANGUAGES = 1000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -98,8 +102,8 @@ class Model:
         at, values = grams(text)
         return values @ self.weights[at] + self.bias if len(at) else None
 
-    def fit(self, texts: list[str], labels: list[int], seed: int = SEED) -> None:
-        rows = [(g, y) for g, y in zip(map(grams, texts), labels) if len(g[0])]
+    def fit(self, rows: list[tuple[tuple[np.ndarray, np.ndarray], int]], seed: int = SEED) -> None:
+        """Learn from (grams, language) of the sampled rows."""
         random = np.random.default_rng(seed)
         random.shuffle(rows)
         held = rows[: len(rows) // 10] if len(rows) >= 100 else []
@@ -130,23 +134,45 @@ class Model:
         return self.languages[order[0]], float(1 / share.sum()), bool(close)
 
 
+def packed(text: str) -> tuple[bytes, bytes]:
+    """The n-grams of a whole text: their numbers, and their values in steps of 1 / 255 of the largest."""
+    at, values = grams(text)
+    top = values.max() if len(at) else 1.0
+    return at.astype("<u2").tobytes(), np.ceil(values / top * 255).astype(np.uint8).tobytes()
+
+
+def unpacked(at: bytes, values: bytes) -> tuple[np.ndarray, np.ndarray]:
+    v = np.frombuffer(values, np.uint8).astype(np.float32)
+    return np.frombuffer(at, "<u2").astype(np.int64), v / np.float32(np.sqrt((v * v).sum()))
+
+
 def fit(learn: DataFrame) -> Model:
-    """A model from the rows of (doc_id, text, lang); see above for the sample."""
+    """A model from the rows of (doc_id, text, lang); see above for the sample.
+
+    The sampled texts are read whole, by the tasks; the driver gets three bytes for each of their
+    distinct n-grams, of which a text has 2^DIM_BITS at most.
+    """
     rows = pick(learn, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    names = sorted(r.lang for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages in the labels")
+    names = sorted(r.lang for r in rows.select("lang").distinct().collect())
     model = Model(names)
+    if not names:
+        return model
+    wanted = min(PER_LANGUAGE, max(FEWEST, ROWS // len(names)))
     by = W.partitionBy("lang", "slot").orderBy("k", "doc_id")
     slots = 16  # a language is ranked in parts, so that a frequent one is no single task
-    ranked = rows.selectExpr(
-        "lang", "doc_id", f"left(text, {TRAIN_CHARS}) AS part", f"xxhash64({SEED}, doc_id) AS k"
-    ).selectExpr("*", f"pmod(k, {slots}) AS slot")
-    sample = ranked.withColumn("nth", F.row_number().over(by)).where(f"nth <= {PER_LANGUAGE // slots + 1}")
-    got = sorted(sample.select("k", "doc_id", "lang", "part").collect(), key=lambda r: (r.k, r.doc_id or 0, r.part))
+    keyed = rows.selectExpr("lang", "doc_id", f"xxhash64({SEED}, doc_id) AS k").distinct().selectExpr("*", f"pmod(k, {slots}) AS slot")
+    chosen = keyed.withColumn("nth", F.row_number().over(by)).where(f"nth <= {-(-wanted // slots)}")
+    chosen = chosen.select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id"), "k")
+    met = rows.join(F.broadcast(chosen), F.expr("lang = _lang AND doc_id <=> _id"))  # at most the sample's rows
+    sample = met.groupBy("lang", "doc_id", "k").agg(F.min("text").alias("text"))  # one text of a repeated id
+
+    def make():
+        return lambda _lang, _id, _k, texts: list(zip(*map(packed, texts)))
+
+    found = map_rows(sample, ["lang", "doc_id", "k", "text"], make, "at binary, v binary")
+    got = sorted(found.collect(), key=lambda r: (r.k, r.doc_id or 0, r.at, r.v))
     index = {n: i for i, n in enumerate(names)}
-    if names:
-        model.fit([r.part for r in got], [index[r.lang] for r in got])
+    model.fit([(unpacked(r.at, r.v), index[r.lang]) for r in got if r.at])
     return model
 
 

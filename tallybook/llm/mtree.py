@@ -15,11 +15,11 @@ parent rule out children through the triangle inequality before their own distan
 distances only decide what is visited, with a slack for rounding; scores are exact integers.
 Each partition gives its k best for each query, and a ranking per query merges them.
 
-Defined cases: vectors that are null, empty or hold nulls or values that are not finite take no
-part; vectors whose length differs from the most frequent one take no part either; a query with
+Defined cases: vectors that are null or hold nulls or values that are not finite take no part; a
+vector that is shorter than the longest counts as filled up with zeros, an empty one too; a query with
 fewer candidates than k gives all; ties go to the smaller vec_id; repeated rows are candidates of
 their own, but one query (with the smallest vector of that id), and a query never finds a row with
-its own id; null ids take no part.
+its own id; null ids take no part; an empty table gives an empty one; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -45,12 +45,12 @@ SEED = 17
 
 def integers(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
     """vec_id and x, the components as integers, of the vectors that take part."""
-    rows = pick(vectors, "vec_id", "embedding").where("vec_id IS NOT NULL AND size(embedding) > 0")
+    rows = pick(vectors, "vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL")
     finite = "forall(embedding, e -> e IS NOT NULL AND NOT isnan(e) AND abs(e) < CAST('Infinity' AS DOUBLE))"
     whole = f"transform(embedding, e -> CAST(floor({scale}D * CAST(e AS DOUBLE)) AS LONG)) AS x"
     rows = rows.where(finite).selectExpr("vec_id", whole)
-    usual = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("x") == (usual.n if usual else 0))
+    longest = rows.agg(F.max(F.size("x"))).first()[0] or 1
+    return rows.selectExpr("vec_id", f"concat(x, array_repeat(0L, {longest} - size(x))) AS x")
 
 
 class Tree:
@@ -231,11 +231,11 @@ ORACLE_SQL = f"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda e: CAST(floor({SCALE} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+         CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {EVERY} = 0
 ), r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s

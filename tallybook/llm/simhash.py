@@ -216,7 +216,8 @@ def drop_copies(docs: DataFrame, shingle: int = likeness.SHINGLE, least: tuple[i
     own = keyed.join(kept, (F.col(node) == F.col(same)) & F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
     if not ids.groupBy("doc_id", "node").count().where(F.col("count") > 1).head(1):
         return own.select(*[F.col(f"`{c}`") for c in docs.columns])  # no row repeats
-    one = own.groupBy(node).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias(row))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = own.groupBy(node).agg(F.min_by(whole, F.to_json(whole)).alias(row))  # the same one in every run
     return one.select(*[F.col(f"`{row}`.`{c}`").alias(c) for c in docs.columns])
 
 
