@@ -67,6 +67,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 #: Rows that a task turns into Python objects at once.
 SLICE = 500
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of 16 MB, unless the session has a limit of its own: two workers share an executor with the JVM."""
+    if spark.conf.get(BATCH) == "67108864b":  # Spark's default
+        spark.conf.set(BATCH, "16m")
 
 
 def map_batches(source: DataFrame, columns: list[str], kept: list[str], make, added: str, keep=None) -> DataFrame:
@@ -80,6 +87,7 @@ def map_batches(source: DataFrame, columns: list[str], kept: list[str], make, ad
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
 
+    bounded_batches(source.sparkSession)
     fields = source.schema.fields
     at = {f.name: i for i, f in enumerate(fields)}
     new = T.StructType.fromDDL(added).fields if added else []
