@@ -31,6 +31,7 @@ from tallybook.operators.validate import (
     validate_scenarios,
 )
 from tallybook.params import FIELD_NAMES, Scenario, bind, literal
+from tallybook.plans.attribution import attribute
 from tallybook.plans.build import build_portfolio
 from tallybook.plans.portfolio import compare_scenarios, score_portfolio, score_scenarios
 from tallybook.plans.review import expectations
@@ -212,6 +213,55 @@ def streamed_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_portfolio(spark, path).select(*columns))
 
 
+def shared_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One portfolio that a batch job builds, a stream of customers extends, and the job builds again."""
+    keys = order_keys(spark, sf_dir)
+    path = workspace(spark, "shared")
+    n = keys.count()
+    base, stress = (replace(s, application_count=n) for s in (BASE, STRESS))
+    build_portfolio(keys, (base, stress), path)
+    customers = table(spark, sf_dir, "customer")
+    files = spark.readStream.schema(customers.schema).option("pathGlobFilter", "customer.parquet")
+    added = files.parquet(sf_dir).selectExpr("c_custkey + 50000000 AS application_seq")
+    for _ in range(2):  # started again, the stream adds nothing more
+        append_portfolio(score_stream(added, (BASE,)), path, f"{path}_progress").awaitTermination()
+    build_portfolio(keys, (base,), path)
+    counts = read_portfolio(spark, path).groupBy("scenario_name", "product_type")
+    return plain(counts.agg(F.count("*").alias("applications"), F.sum("expected_loss_amount").alias("expected_loss")))
+
+
+def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change from the baseline to the tighter scenario, by product and changed factor."""
+    return plain(attribute(order_keys(spark, sf_dir), BASE, TIGHT))
+
+
+def region_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parameter table with one scenario per region."""
+    changed = {
+        "scenario_name": "concat('REGION_', r_regionkey)",
+        "rate_shift_bps": "CAST(50 * r_regionkey AS INT)",
+        "max_income": "CAST(240000 - 30000 * r_regionkey AS DECIMAL(18,2))",
+        "lgd_auto": "CAST((45 + 5 * r_regionkey) * 0.01BD AS DECIMAL(12,6))",
+        "max_auto_amt": "CAST(80000 - 10000 * (r_regionkey % 2) AS DECIMAL(18,2))",
+    }
+    every = {n: literal(n, getattr(BASE, n)) for n in FIELD_NAMES} | changed
+    return table(configure(spark), sf_dir, "region").selectExpr(*[f"{every[n]} AS {n}" for n in FIELD_NAMES])
+
+
+def scenario_table_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order under every scenario of a parameter table."""
+    rows = score_scenarios(order_keys(spark, sf_dir), region_scenarios(spark, sf_dir), audit=False)
+    by = rows.groupBy("scenario_name", "product_type")
+    return plain(
+        by.agg(
+            F.count("*").alias("applications"),
+            F.sum("annual_income").alias("income"),
+            F.sum("base_apr_for_payment_calc").alias("apr"),
+            F.sum("expected_loss_amount").alias("expected_loss"),
+        )
+    )
+
+
 def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = with_ids(order_keys(spark, sf_dir))
     salts = ("u1", "u8", "u15")
@@ -486,6 +536,9 @@ def scoring_queries() -> dict[str, Query]:
         "scored_portfolio": lambda s, d: plain(portfolio(s, d)),
         "stored_portfolio": stored_portfolio,
         "streamed_portfolio": streamed_portfolio,
+        "shared_portfolio": shared_portfolio,
+        "scenario_attribution": attributed,
+        "scenario_table_totals": scenario_table_totals,
         "scenario_sweep": sweep_rows,
         "scenario_totals": sweep_totals,
         "scenario_compare": compared,

@@ -7,7 +7,9 @@ joined as relations, and ladders count how many edges a value has passed.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 from decimal import Decimal
+from itertools import permutations
 
 from tallybook import calibration as C
 from tallybook.functions.draws import DRAWS
@@ -130,7 +132,7 @@ def product_rows(s: Scenario) -> str:
     return f"(VALUES {', '.join(rows)}) AS p({names})"
 
 
-def applications(s: Scenario, tag: str = "") -> str:
+def applications(s: Scenario, tag: str = "", key: str = "o_orderkey", source: str = "orders") -> str:
     """Common table expressions that end in ``scored<tag>``."""
     products = cumulative(getattr(s, w) for w in C.PRODUCT_WEIGHT.values())
     bands = cumulative(getattr(s, w) for w in C.BAND_WEIGHT.values())
@@ -156,10 +158,10 @@ def applications(s: Scenario, tag: str = "") -> str:
     factors = " * ".join(["base_pd", *MULTIPLIERS])
     return f"""
 keys{tag} AS (
-  SELECT o_orderkey::BIGINT AS application_seq,
-         'APP-' || lpad(o_orderkey::VARCHAR, 8, '0') AS application_id,
-         'CUST-' || lpad(o_orderkey::VARCHAR, 8, '0') AS applicant_id
-  FROM orders),
+  SELECT {key}::BIGINT AS application_seq,
+         'APP-' || lpad(({key})::VARCHAR, 8, '0') AS application_id,
+         'CUST-' || lpad(({key})::VARCHAR, 8, '0') AS applicant_id
+  FROM {source}),
 drawn{tag} AS (SELECT *, {us} FROM keys{tag}),
 labelled{tag} AS (
   SELECT *,
@@ -310,6 +312,50 @@ def compared(by: str, left: str, right: str) -> str:
     )
 
 
+def attributed(base: Scenario, alt: Scenario, factors: dict[str, tuple[str, ...]], measures: dict[str, int]) -> str:
+    """Mean over all orders of what each factor's change adds, by the base scenario's product.
+
+    ``measures`` gives the digits of each measure. Parts are differences of rounded running sums.
+    """
+    names = list(factors)
+    parts, totals = [], []
+    for mask in range(2 ** len(names)):
+        fields = [f for i, n in enumerate(names) if mask >> i & 1 for f in factors[n]]
+        s = replace(base, **{f: getattr(alt, f) for f in fields})
+        parts.append(applications(s, f"_c{mask}"))
+        units = ", ".join(f"sum(({m} * {10**d_})::HUGEINT) AS {m}" for m, d_ in measures.items())
+        totals.append(
+            f"SELECT {mask} AS mask, b.product_type, {', '.join(f'c.{m} AS {m}' for m in measures)}"
+            f" FROM scored_c{mask} c JOIN scored_c0 b USING (application_seq)"
+        )
+        totals[-1] = f"SELECT mask, product_type, {units} FROM ({totals[-1]}) GROUP BY ALL"
+    orders = list(permutations(range(len(names))))
+    steps = []
+    for i, name in enumerate(names):
+        for order in orders:
+            before = sum(1 << j for j in order[: order.index(i)])
+            steps.append(f"({i}, '{name}', {before}, {before | 1 << i})")
+    rows = " UNION ALL ".join(
+        f"SELECT product_type, '{m}' AS measure, {10**d_} AS unit, mask, {m} AS v FROM totals" for m, d_ in measures.items()
+    )
+    n = len(orders)
+    full = 2 ** len(names) - 1
+    return f"""WITH {','.join(parts)},
+totals AS ({' UNION ALL '.join(totals)}),
+v AS ({rows}),
+steps(i, factor, low, high) AS (VALUES {', '.join(steps)}),
+part AS (SELECT a.product_type, a.measure, a.unit, i, factor, sum(b.v - a.v) AS p
+  FROM steps JOIN v a ON a.mask = low JOIN v b ON b.mask = high AND b.product_type = a.product_type
+    AND b.measure = a.measure GROUP BY ALL),
+run AS (SELECT *, sum(p) OVER w AS s, sum(p) OVER w - p AS r FROM part
+  WINDOW w AS (PARTITION BY product_type, measure ORDER BY i)),
+up AS (SELECT *, sign(s) * ((2 * abs(s) + {n}) // {2 * n}) - sign(r) * ((2 * abs(r) + {n}) // {2 * n}) AS part FROM run)
+SELECT up.product_type, up.measure, factor, a.v::DOUBLE / up.unit AS base_total, b.v::DOUBLE / up.unit AS alt_total,
+  part::DOUBLE / up.unit AS contribution
+FROM up JOIN v a ON a.mask = 0 AND a.product_type = up.product_type AND a.measure = up.measure
+JOIN v b ON b.mask = {full} AND b.product_type = up.product_type AND b.measure = up.measure"""
+
+
 def parameter_rules() -> str:
     """One row per customer and rule, from the columns that vary by customer."""
     varying = """
@@ -568,6 +614,43 @@ SELECT l_orderkey, l_linenumber, product_type, payment,
     u = {i: uniform(plain, "SEGMENT_V1", f"u{i}") for i in range(1, 8)}
     cents = "floor(({}) * 100.0::DOUBLE + 0.5::DOUBLE)::BIGINT / 100.0::DOUBLE"
     building = "c_mktsegment = 'BUILDING'"
+    regions = [
+        replace(
+            base,
+            scenario_name=f"REGION_{i}",
+            rate_shift_bps=50 * i,
+            max_income=Decimal(240000 - 30000 * i),
+            lgd_auto=Decimal(45 + 5 * i) / 100,
+            max_auto_amt=Decimal(80000 - 10000 * (i % 2)),
+        )
+        for i in range(5)
+    ]
+    by_region = " UNION ALL ".join(
+        f"SELECT scenario_name, product_type, annual_income, base_apr_for_payment_calc, expected_loss_amount FROM scored_r{i}"
+        for i in range(5)
+    )
+    factors = {
+        "mix": ("pct_super_prime", "pct_prime", "pct_subprime", "pct_deep_subprime"),
+        "amounts": ("max_mortgage_amt",),
+        "lgd": ("lgd_revolving",),
+    }
+    own["scenario_attribution"] = attributed(
+        base, tight, factors, {"requested_amount": 2, "monthly_payment_proxy": 2, "expected_loss_amount": 2}
+    )
+    own["scenario_table_totals"] = (
+        "WITH " + ",".join(applications(r, f"_r{i}") for i, r in enumerate(regions))
+        + f" SELECT scenario_name, product_type, count(*) AS applications, sum(annual_income)::DOUBLE AS income,"
+        " sum(base_apr_for_payment_calc)::DOUBLE AS apr, sum(expected_loss_amount)::DOUBLE AS expected_loss"
+        f" FROM ({by_region}) GROUP BY ALL"
+    )
+    added = applications(base, "_k", "c_custkey + 50000000", "customer")
+    own["shared_portfolio"] = (
+        f"WITH {applications(base)}, {applications(stress, '_s')}, {added}"
+        " SELECT scenario_name, product_type, count(*) AS applications, sum(expected_loss_amount)::DOUBLE AS expected_loss"
+        " FROM (SELECT scenario_name, product_type, expected_loss_amount FROM scored"
+        " UNION ALL SELECT scenario_name, product_type, expected_loss_amount FROM scored_s"
+        " UNION ALL SELECT scenario_name, product_type, expected_loss_amount FROM scored_k) GROUP BY ALL"
+    )
     more = {
         "report_files": own["portfolio_mix_product"],
         "bucketed_compare": own["scenario_compare"],

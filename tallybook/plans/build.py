@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -15,12 +14,8 @@ from tallybook.operators.validate import assert_valid, domain_check, key_checks,
 from tallybook.params import Scenario, scenarios_df
 from tallybook.plans.portfolio import score_scenarios
 from tallybook.session import configure
-from tallybook.sources.store import (
-    publish_portfolio,
-    read_portfolio,
-    write_portfolio,
-    written_by_stream,
-)
+from tallybook.sources.snapshots import is_snapshot_folder, read_folders, replace_batch, write_folder
+from tallybook.sources.store import has_partitions, read_portfolio, written_by_stream
 
 
 def build_portfolio(
@@ -34,13 +29,13 @@ def build_portfolio(
 
     Stops before any work if a parameter breaks a rule, if a key is missing, repeated or
     does not fit its id, or if the number of keys is not a scenario's ``application_count``.
-    Rows are written to a folder beside ``path`` and checked there; only then do they take
-    the place of the scenarios' old rows, so a failed rebuild leaves those as they were. Other
-    scenarios at ``path`` stay as they are.
+    Rows are written as a snapshot that no commit names, and checked there; only then does one commit
+    put them in the place of the scenarios' old rows, so a rebuild that fails or crashes at any step leaves
+    those as they were. Other scenarios at ``path`` stay as they are, and so do rows that a stream has added.
     """
     spark = configure(keys.sparkSession)
-    if written_by_stream(spark, path):
-        raise ValueError(f"{path} is written by a stream")
+    if not is_snapshot_folder(spark, path) and (written_by_stream(spark, path) or has_partitions(spark, path)):
+        raise ValueError(f"{path} holds a portfolio that is not written in snapshots")
     assert_valid(scenarios_df(spark, scenarios), strict)
     require(key_checks(keys))
     count = keys.count()
@@ -48,11 +43,10 @@ def build_portfolio(
         if s.application_count != count:
             raise ValueError(f"{s.scenario_name}: application_count {s.application_count}, {count} keys")
 
-    pending = f"{path.rstrip('/')}-pending-{uuid.uuid4().hex}"
-    write_portfolio(score_scenarios(keys, scenarios, cal), pending)
-    rows = read_portfolio(spark, pending)
+    name, partitions = write_folder(score_scenarios(keys, scenarios, cal), path)
+    rows = read_folders(spark, path, [(name, p) for p in partitions])
     require(row_count_check(rows, count * len(scenarios)).unionByName(domain_check(rows)))
-    publish_portfolio(spark, pending, path)
+    replace_batch(spark, path, name, partitions)
 
     wanted = [
         (F.col("scenario_name") == s.scenario_name) & (F.col("population_id") == s.population_id)

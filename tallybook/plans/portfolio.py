@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.calibration import DEFAULT, Calibration
 from tallybook.functions.draws import add, with_draws
-from tallybook.operators.borrower import with_borrower
+from tallybook.operators.borrower import with_borrower, with_segments
 from tallybook.operators.risk import with_risk
 from tallybook.operators.structure import with_structure
 from tallybook.params import BORROWER_FIELDS, Scenario, bind, load_scenarios
@@ -19,6 +19,7 @@ from tallybook.sources.keys import with_ids
 
 #: Scenarios scored in one pass.
 SLICE = 200
+SEGMENTS = ("product_type", "score_band")
 
 
 def with_created_ts(df: DataFrame) -> DataFrame:
@@ -26,8 +27,8 @@ def with_created_ts(df: DataFrame) -> DataFrame:
     return add(df, created_ts="current_timestamp()")
 
 
-def finalize(df: DataFrame, audit: bool = True) -> DataFrame:
-    """Project to the application schema, in order."""
+def finalize(df: DataFrame, audit: bool = True, extra: Sequence[str] = ()) -> DataFrame:
+    """Project to the application schema, in order, and the extra columns."""
     if audit:
         df = with_created_ts(df)
     return df.selectExpr(
@@ -35,7 +36,8 @@ def finalize(df: DataFrame, audit: bool = True) -> DataFrame:
             f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in APPLICATION_SCHEMA
             if audit or f.name not in AUDIT_COLUMNS
-        ]
+        ],
+        *extra,
     )
 
 
@@ -56,6 +58,7 @@ def score_scenarios(
     cal: Calibration = DEFAULT,
     pad: int = 8,
     audit: bool = True,
+    reference: Scenario | None = None,
 ) -> DataFrame:
     """Score every key under every scenario, in one map-only pass.
 
@@ -63,21 +66,33 @@ def score_scenarios(
     columns once per distinct set of borrower parameters, and only the structure and
     risk columns once per scenario. Rows are multiplied with a literal array, so
     there is no join; parameters that all scenarios share stay literals. Scenarios may
-    also come as a parameter table. More than ``SLICE`` scenarios are scored slice by
-    slice, each map-only, so that no expression grows with their number.
+    also come as a parameter table, see ``scenario_table``. More than ``SLICE`` scenarios are
+    scored slice by slice, each map-only, so that no expression grows with their number.
+
+    With a ``reference`` scenario of the same population, every row also gets the segments that its
+    borrower has under it, as ``base_product_type`` and ``base_score_band``.
     """
+    if isinstance(scenarios, DataFrame) and keys.isStreaming:
+        scenarios = load_scenarios(scenarios)  # nothing can be staged
     if isinstance(scenarios, DataFrame):
-        scenarios = load_scenarios(scenarios)
+        from tallybook.plans.scenario_table import score_table
+
+        return score_table(keys, scenarios, cal, pad, audit)
     scenarios = list(scenarios)
     names = [(s.scenario_name, s.population_id) for s in scenarios]
     if not scenarios or len(set(names)) != len(names):
         raise ValueError("scenarios need distinct scenario_name and population_id pairs")
     slices = [scenarios[i : i + SLICE] for i in range(0, len(scenarios), SLICE)]
-    return reduce(DataFrame.unionAll, [_score(keys, s, cal, pad, audit) for s in slices])
+    return reduce(DataFrame.unionAll, [_score(keys, s, cal, pad, audit, reference) for s in slices])
 
 
 def _score(
-    keys: DataFrame, scenarios: Sequence[Scenario], cal: Calibration, pad: int, audit: bool
+    keys: DataFrame,
+    scenarios: Sequence[Scenario],
+    cal: Calibration,
+    pad: int,
+    audit: bool,
+    reference: Scenario | None = None,
 ) -> DataFrame:
     populations = _distinct(s.population_id for s in scenarios)
     borrowers = _distinct(_borrower(s) for s in scenarios)
@@ -87,6 +102,11 @@ def _score(
     first = [next(s for s in scenarios if s.population_id == p) for p in populations]
     df = add(df, population_id=bind(first, "_population")("population_id"))
     df = fenced(with_draws(df, "application_id", "population_id"))
+    if reference:
+        df = with_segments(df, bind([reference])).selectExpr(
+            "* EXCEPT (application_date, product_type, score_band)",
+            *[f"{c} AS base_{c}" for c in SEGMENTS],
+        )
 
     df = _multiply(
         df,
@@ -104,7 +124,8 @@ def _score(
     )
     params = bind(scenarios, "_scenario")
     df = add(df, scenario_name=params("scenario_name"), anchor_date=params("anchor_date"))
-    return finalize(with_risk(fenced(with_structure(df, params, cal)), params, cal), audit)
+    extra = [f"base_{c}" for c in SEGMENTS] if reference else []
+    return finalize(with_risk(fenced(with_structure(df, params, cal)), params, cal), audit, extra)
 
 
 def fenced(df: DataFrame) -> DataFrame:

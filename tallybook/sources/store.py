@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallybook.schema import APPLICATION_SCHEMA
-
-PARTITIONS = ("scenario_name", "population_id")
-ROWS_PER_FILE = 5_000_000
+from tallybook.sources.snapshots import PARTITIONS, ROWS_PER_FILE, is_snapshot_folder, read_snapshot
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -31,12 +29,10 @@ def written_by_stream(spark: SparkSession, path: str) -> bool:
     return fs.exists(log)
 
 
-def written_by_batch(spark: SparkSession, path: str) -> bool:
-    """Does the folder hold partitions that no stream has written?"""
+def has_partitions(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold partitions that ``write_portfolio`` has written?"""
     where, fs = _folder(spark, path)
-    if written_by_stream(spark, path) or not fs.exists(where):
-        return False
-    return any("=" in f.getPath().getName() for f in fs.listStatus(where))
+    return fs.exists(where) and any("=" in f.getPath().getName() for f in fs.listStatus(where))
 
 
 def write_portfolio(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -44,10 +40,12 @@ def write_portfolio(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
 
     Rerunning a scenario therefore rebuilds it and leaves the others alone. Rows are
     rebalanced by partition first, so that the number of files follows from the data
-    and not from tasks times scenarios. A folder that a stream writes is refused.
+    and not from tasks times scenarios. The old rows go before the new ones come, so use this for
+    tables that can be made again; ``build_portfolio`` changes a portfolio in one step. A folder of
+    snapshots, or of a file stream, is refused.
     """
-    if written_by_stream(df.sparkSession, path):
-        raise ValueError(f"{path} is written by a stream; batch rows would be lost to its readers")
+    if is_snapshot_folder(df.sparkSession, path) or written_by_stream(df.sparkSession, path):
+        raise ValueError(f"{path} is written in snapshots or by a stream; its readers would not see these rows")
     (
         df.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
@@ -58,24 +56,13 @@ def write_portfolio(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
     )
 
 
-def publish_portfolio(spark: SparkSession, pending: str, path: str) -> None:
-    """Move the partitions of a finished folder into a portfolio, each in place of its predecessor."""
-    source, fs = _folder(spark, pending)
-    for scenario in fs.listStatus(source):
-        if "=" not in scenario.getPath().getName():
-            continue
-        for population in fs.listStatus(scenario.getPath()):
-            old = population.getPath()
-            new, _ = _folder(spark, f"{path.rstrip('/')}/{scenario.getPath().getName()}/{old.getName()}")
-            fs.mkdirs(new.getParent())
-            fs.delete(new, True)
-            if not fs.rename(old, new):
-                raise OSError(f"{old} could not be moved to {new}")
-    fs.delete(source, True)
-
-
 def read_portfolio(spark: SparkSession, path: str) -> DataFrame:
-    """Read a portfolio in schema order; filters on scenario and population prune files."""
+    """Read a portfolio in schema order; filters on scenario and population prune files.
+
+    Of a folder of snapshots this is what the newest commit names.
+    """
+    if is_snapshot_folder(spark, path):
+        return read_snapshot(spark, path)
     df = spark.read.schema(APPLICATION_SCHEMA).parquet(path)
     return df.select(*APPLICATION_SCHEMA.names)
 
@@ -118,6 +105,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Remove the folder of a staged table that nothing reads any more."""
+    for file in df.inputFiles()[:1]:
+        where, fs = _folder(df.sparkSession, file)
+        parent = where.getParent().getParent()  # tallybook-<id>/<name>/<file>
+        if parent.getName().startswith("tallybook-"):
+            fs.delete(parent, True)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Write a report as CSV files with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybook.calibration import DEFAULT, Calibration
 from tallybook.params import Scenario
 from tallybook.plans.portfolio import score_scenarios
-from tallybook.sources.store import PARTITIONS, written_by_batch
+from tallybook.sources.snapshots import append_batch, is_snapshot_folder
+from tallybook.sources.store import has_partitions, written_by_stream
 
 
 def score_stream(
@@ -23,18 +24,20 @@ def score_stream(
 def append_portfolio(
     scored: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append a scored stream to a portfolio folder of its own, exactly once per checkpoint.
+    """Append a scored stream to a portfolio, exactly once per checkpoint.
 
-    A folder that a batch job has written is refused: readers would see the stream's rows only.
+    Each batch is a snapshot with a commit of its own, which names the stream, by its checkpoint, and the batch; one
+    that was committed before a crash is not written again. Batch jobs may write the same portfolio.
     """
-    if written_by_batch(scored.sparkSession, path):
-        raise ValueError(f"{path} is written by a batch job; give the stream a folder of its own")
-    writer = (
-        scored.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*PARTITIONS)
-    )
+    spark = scored.sparkSession
+    if not is_snapshot_folder(spark, path) and (written_by_stream(spark, path) or has_partitions(spark, path)):
+        raise ValueError(f"{path} holds a portfolio that is not written in snapshots")
+    stream = checkpoint.rstrip("/")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, batch_id, path, stream)
+
+    writer = scored.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

@@ -73,21 +73,6 @@ def test_names_are_not_joined(spark, tmp_path):
     assert build_portfolio(key_table(spark, 5), [b], path).count() == 5
 
 
-def test_stream_and_batch_folders_do_not_mix(spark, tmp_path):
-    source, batch, streamed = (str(tmp_path / n) for n in ("in", "batch", "streamed"))
-    key_table(spark, 50).write.parquet(source)
-    stream = spark.readStream.schema("application_seq long").parquet(source)
-    build_portfolio(key_table(spark, 30), counted(30, BASE), batch)
-    with pytest.raises(ValueError, match="batch job"):
-        append_portfolio(score_stream(stream), batch, str(tmp_path / "c1"))
-    append_portfolio(score_stream(stream), streamed, str(tmp_path / "c2")).awaitTermination(120)
-    with pytest.raises(ValueError, match="stream"):
-        build_portfolio(key_table(spark, 30), counted(30, BASE), streamed)
-    with pytest.raises(ValueError, match="stream"):
-        write_portfolio(score_portfolio(key_table(spark, 30)), streamed)
-    assert (read_portfolio(spark, batch).count(), read_portfolio(spark, streamed).count()) == (30, 50)
-
-
 def test_files_follow_the_data(spark, tmp_path):
     path = str(tmp_path / "p")
     scenarios = [replace(BASE, scenario_name=f"S{i}") for i in range(4)]
