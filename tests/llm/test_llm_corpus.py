@@ -366,8 +366,11 @@ def test_pipeline_stage_by_stage(spark):
         kept[r.doc_id] = "\n".join(
             t for pos, t in lines if len(sites[t]) < line_spread.MIN_SITES or first[t] == (r.doc_id, pos)
         )
-    components = plain_components([(i, plain_fingerprint(t)) for i, t in kept.items()])
-    single = {i: t for i, t in kept.items() if components[i] == i}
+    order = sorted(kept)
+    label = plain_near([kept[i] for i in order])  # five words, Jaccard 0.8
+    single = {i: kept[i] for k, i in enumerate(order) if label[k] == k}
+    deduped = corpus_pipeline.drop_copies(spark, spark.createDataFrame([(i, kept[i]) for i in order], "doc_id long, text string"), SF_DIR)
+    assert {r.doc_id: r.text for r in deduped.collect()} == single
 
     from tallybook.llm.bpe import vocabulary
     from tokenizers import Tokenizer
