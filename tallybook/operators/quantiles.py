@@ -1,7 +1,14 @@
 """Exact continuous quantiles without holding a column in one task.
 
 The built-in ``percentile`` keeps every distinct value of a group in one buffer.
-Here a first scan counts rows per cell of an order-preserving histogram, which is
+
+``aggregate_with_quantiles`` scans twice. Beside a report's other figures the first scan makes approximate quantiles
+a little below and above each wanted one. The second counts the rows below and at both ends of these narrow windows and gathers
+the values strictly inside, whose number is bounded by the sketch's error, however often values repeat. Values keep their own
+type, so quantiles of integers and decimals are exact. The counts prove each result; where a window
+missed, or windows would hold more than ``WINDOW_VALUES`` values, ``exact_quantiles`` takes over.
+
+``exact_quantiles`` works at any size. A first scan counts rows per cell of an order-preserving histogram, which is
 small whatever the row count. The cells that hold the wanted ranks are then the only
 ones whose values a second scan looks at. Where such a cell may still hold very many
 distinct values, it is split by a finer histogram first.
@@ -10,19 +17,24 @@ distinct values, it is split by a finer histogram first.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.sources.store import stage
+from tallybook.functions.numeric import Sql
+from tallybook.sources.store import stage, unstage
 
 CELLS_PER_OCTAVE = 256
 FINE_CELLS = 4096
 _OFFSET = 1100 * CELLS_PER_OCTAVE  # above the smallest exponent of a double
 _NAN_CELL = 2**31 - 1
 BROADCAST_ROWS = 100_000
+#: Rows over rank error of the first scan's sketches, and values that all windows may hold together.
+ACCURACY = 10_000
+WINDOW_VALUES = 2_000_000
 CELL_VALUES = 1_000_000
 MAX_SPLITS = 4
 
@@ -41,6 +53,108 @@ def fine_cell(x: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.floor(share * F.lit(FINE_CELLS)).cast("int"), F.lit(0))
 
 
+def without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns with NULL for NaN: what is not a number is missing."""
+    floats = [c for c in dict.fromkeys(columns) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
+def aggregate_with_quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    figures: Mapping[str, Sql],
+    quantiles: Mapping[str, tuple[str, float]],
+) -> DataFrame:
+    """One row per group with the ``figures``, which are aggregates, and exact ``quantiles`` as (column, prob).
+
+    NaN and NULL take no part in a quantile. Both scans run when this is called; the group rows are staged.
+    """
+    wanted: dict[str, list[float]] = {}
+    for column, prob in quantiles.values():
+        wanted.setdefault(column, []).append(prob)
+    wanted = {c: sorted(set(p)) for c, p in wanted.items()}
+    df = without_nan(df, list(wanted))
+    margin = 2 / ACCURACY
+    sums = [F.expr(sql).alias(name) for name, sql in figures.items()]
+    for j, (c, probs) in enumerate(wanted.items()):
+        edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+        sums.append(F.count(c).alias(f"_n{j}"))
+        sums.append(F.percentile_approx(c, F.array(*[F.lit(e) for e in edges]), F.lit(ACCURACY)).alias(f"_w{j}"))
+    first = stage(df.groupBy(*by).agg(*sums), "figures")
+    held = " + ".join(f"coalesce(_n{j}, 0) * {len(p)}" for j, p in enumerate(wanted.values()))
+    groups, values = first.agg(F.count("*"), F.sum(F.expr(held)) * (6 / ACCURACY)).first()
+    small = groups <= BROADCAST_ROWS and (values or 0) <= WINDOW_VALUES
+    if small:
+        found = _from_windows(df, by, first, wanted)
+        missed = " OR ".join(f"(_n{j} > 0 AND _q{j}_{k} IS NULL)" for j, p in enumerate(wanted.values()) for k in range(len(p)))
+        small = not found.where(missed).head(1)
+    names = {n: f"_q{list(wanted).index(c)}_{wanted[c].index(p)}" for n, (c, p) in quantiles.items()}
+    if small:
+        unstage(first)
+        return found.select(*by, *figures, *[F.col(q).alias(n) for n, q in names.items()])
+    middle = grouped_quantiles(df, quantiles, by)
+    if not by:
+        return first.select(*figures).crossJoin(middle.select(*quantiles))
+    renamed = middle.select(*[F.col(c).alias(f"_{c}") for c in by], *quantiles)
+    return first.join(renamed, _same(by), "left").select(*by, *figures, *quantiles)
+
+
+def _same(by: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+
+
+def _from_windows(df: DataFrame, by: Sequence[str], first: DataFrame, wanted: Mapping[str, list[float]]) -> DataFrame:
+    """The first scan's rows with a quantile ``_q<column>_<prob>`` each, NULL where its window missed; staged."""
+    windows = first.select(*[F.col(c).alias(f"_{c}") for c in by], *[f"_w{j}" for j in range(len(wanted))])
+    rows = df.select(*by, *[F.col(c).alias(f"_x{j}") for j, c in enumerate(wanted)])
+    rows = rows.join(F.broadcast(windows), _same(by)) if by else rows.crossJoin(F.broadcast(windows))
+    counts = []
+    for j, probs in enumerate(wanted.values()):
+        for k in range(len(probs)):
+            x, low, high, at = f"_x{j}", f"_w{j}[{2 * k}]", f"_w{j}[{2 * k + 1}]", f"{j}_{k}"
+            counts += [
+                f"any_value({low}, true) AS _low{at}",
+                f"any_value({high}, true) AS _high{at}",
+                f"count_if({x} < {low}) AS _below{at}",
+                f"count_if({x} = {low}) AS _first{at}",
+                f"array_sort(collect_list(if({x} > {low} AND {x} < {high}, {x}, NULL))) AS _inside{at}",
+                f"count_if({x} = {high} AND {high} > {low}) AS _last{at}",
+            ]
+    second = rows.groupBy(*by).agg(*[F.expr(c) for c in counts])
+    if by:
+        second = first.join(second.withColumnsRenamed({c: f"_{c}" for c in by}), _same(by), "left")
+    else:
+        second = first.crossJoin(second)
+    names = [f"`{c}`" for c in first.columns if not c.startswith("_w")]
+    ends, values = [], []
+    for j, (c, probs) in enumerate(wanted.items()):
+        for k, p in enumerate(probs):
+            ends += _neighbours(df.schema[c].dataType, f"_n{j}", p, f"{j}_{k}")
+            at, next_ = f"_at{j}_{k}", f"_next{j}_{k}"
+            values.append(f"if({at} = {next_}, {at}, {at} + _share{j}_{k} * ({next_} - {at})) AS _q{j}_{k}")
+    return stage(second.selectExpr(*names, *ends).selectExpr(*names, *values), "quantiles")
+
+
+def _neighbours(kind: T.DataType, n: Sql, prob: float, at: str) -> list[Sql]:
+    """The values at the two ranks next to a quantile of n rows and the share between them, from a window's counts."""
+    exact = isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.precision <= 28
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    place = f"(({n} - 1) * {Decimal(str(prob)):f}BD)"
+
+    def value(rank: Sql, name: str) -> Sql:
+        # the place within low ends, values inside and high ends, in this order
+        place_ = f"CAST({rank} AS BIGINT) - _below{at}"
+        found = (
+            f"CASE WHEN {place_} < 0 THEN NULL WHEN {place_} < _first{at} THEN _low{at}"
+            f" WHEN {place_} < _first{at} + size(_inside{at}) + _last{at}"
+            f" THEN coalesce(get(_inside{at}, CAST({place_} - _first{at} AS INT)), _high{at}) END"
+        )
+        return f"CAST({found} AS {f'DECIMAL(28,{scale})' if exact else 'DOUBLE'}) AS {name}{at}"
+
+    share = f"CAST({place} - floor({place}) AS {'DECIMAL(7,6)' if exact else 'DOUBLE'}) AS _share{at}"
+    return [value(f"floor({place})", "_at"), value(f"ceil({place})", "_next"), share]
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:

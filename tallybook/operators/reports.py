@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallybook.calibration import BANDS
 from tallybook.functions.numeric import Sql, settle, text
-from tallybook.operators.quantiles import exact_quantiles, grouped_quantiles
+from tallybook.operators.quantiles import aggregate_with_quantiles, without_nan
 
 AGGREGATES = {"sum": "sum", "min": "min", "max": "max", "stddev": "stddev_pop"}
 
@@ -92,33 +91,27 @@ def mix(df: DataFrame, by: str, order: Sequence[str] | None = None) -> DataFrame
     return counts.orderBy(rank_of(by, order), F.col(by))
 
 
-def _same_group(by: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    )
-
-
 def segment_profile(
     df: DataFrame, by: Sequence[str] | str, metrics: Sequence[Metric], share: bool = True
 ) -> DataFrame:
     """Rows, share and metrics by segment, unordered.
 
-    All metrics but medians come from one aggregation. Medians are exact and are
-    joined to the group rows.
+    All metrics and the total come from one aggregation of one scan; exact medians take a second
+    scan. Values that are not a number count as missing.
     """
     by = [by] if isinstance(by, str) else list(by)
+    df = without_nan(df, [m.column for m in metrics if m.column in df.columns and m.column not in by])
     plain = [m for m in metrics if m.kind != "median"]
-    out = df.groupBy(*by).agg(
-        F.count("*").alias("applications"), *[F.expr(m.aggregate()).alias(m.name) for m in plain]
-    )
+    figures = {"applications": "count(*)"} | {m.name: m.aggregate() for m in plain}
     medians = {m.name: (m.column, 0.5) for m in metrics if m.kind == "median"}
     if medians:
-        middle = grouped_quantiles(df, medians, by)
-        renamed = middle.select(*[F.col(c).alias(f"_{c}") for c in by], *medians)
-        out = out.join(renamed, _same_group(by), "left")
+        out = aggregate_with_quantiles(df, by, figures, medians)
+    else:
+        out = df.groupBy(*by).agg(*[F.expr(sql).alias(name) for name, sql in figures.items()])
     columns = [*by, "applications"]
     if share:
-        out = with_share(out, df.agg(F.count("*")).scalar())
+        # the total sums the group rows, so that Spark can scan and exchange once
+        out = with_share(out, out.agg(F.sum("applications")).scalar())
         columns.append("pct_of_total")
     values = [f"{report_value(m.name, m.scale)} AS {m.name}" for m in metrics]
     return out.selectExpr(*columns, *values)
@@ -153,15 +146,16 @@ def text_order(column: str) -> Column:
     return F.collate(F.col(column), "UNICODE")
 
 
-def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
-    """Distribution of several columns, with the exact quartiles.
+def profile(df: DataFrame, scales: Mapping[str, int], count_nan: bool = False) -> DataFrame:
+    """Distribution of several columns, with the exact quartiles, in two scans.
 
     ``scales`` gives the digits of each column's figures, 2 or 4. Counts, limits and means of
     all columns come from one aggregation in the columns' own types, so that integers and
-    decimals stay exact.
+    decimals stay exact. NaN counts as missing; ``count_nan`` adds ``n_nan``, the number of rows with it.
     """
-    columns = ", ".join(f"struct({text(c)} AS variable, {s} AS scale)" for c, s in scales.items())
-    names = df.sparkSession.range(1).selectExpr(f"inline(array({columns}))")
+    if count_nan:  # before the columns lose it
+        floats = {c: isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) for c in scales}
+        df = df.select("*", *[F.expr(f"isnan({c})" if f else "false").alias(f"_nan_{c}") for c, f in floats.items()])
 
     def figure(x: Sql, scale: int) -> Sql:
         return f"CAST({report_value(x, scale)} AS DECIMAL(28,4))"
@@ -170,33 +164,19 @@ def profile(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
         whole = isinstance(df.schema[c].dataType, T.IntegralType)
         return exact_avg(f"CAST({c} AS DECIMAL(20,0))" if whole else c)
 
-    rows = [
-        f"struct({text(c)} AS variable, count({c}) AS n, {figure(f'min({c})', s)} AS min_val,"
-        f" {figure(f'max({c})', s)} AS max_val, {figure(mean(c), s)} AS mean,"
-        f" {figure(f'stddev_pop({c})', s)} AS std_dev)"
-        for c, s in scales.items()
-    ]
-    figures = df.selectExpr(f"array({', '.join(rows)}) AS _figures").selectExpr("inline(_figures)")
-    quartiles = (
-        exact_quantiles(df, list(scales), (0.25, 0.5, 0.75))
-        .groupBy("variable")
-        .agg(
-            *[
-                F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
-                for name, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))
-            ]
-        )
-    )
-    joined = names.join(figures, "variable", "left").join(quartiles, "variable", "left")
-    values = [
-        f"CAST(if(scale = 2, {report_value(v, 2)}, {report_value(v, 4)}) AS DECIMAL(28,4)) AS {v}"
-        if v in ("p25", "median", "p75")
-        else v
-        for v in ("min_val", "p25", "median", "mean", "p75", "max_val", "std_dev")
-    ]
-    return joined.selectExpr(
-        "variable AS variable_name", "coalesce(n, 0) AS n", *values
-    ).orderBy("variable_name")
+    figures, quartiles, rows = {}, {}, []
+    for i, (c, s) in enumerate(scales.items()):
+        sums = {"n": f"count({c})", "min": f"min({c})", "max": f"max({c})", "mean": mean(c), "std": f"stddev_pop({c})"}
+        if count_nan:
+            sums["nan"] = f"count_if(_nan_{c})"
+        figures |= {f"_{name}_{i}": sql for name, sql in sums.items()}
+        quartiles |= {f"_{name}_{i}": (c, p) for name, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))}
+        values = {"min_val": "min", "p25": "p25", "median": "median", "mean": "mean", "p75": "p75", "max_val": "max", "std_dev": "std"}
+        shown = ", ".join(f"{figure(f'_{name}_{i}', s)} AS {out}" for out, name in values.items())
+        more = f", _nan_{i} AS n_nan" if count_nan else ""
+        rows.append(f"struct({text(c)} AS variable_name, _n_{i} AS n, {shown}{more})")
+    whole = aggregate_with_quantiles(without_nan(df, list(scales)), [], figures, quartiles)
+    return whole.selectExpr(f"inline(array({', '.join(rows)}))").orderBy("variable_name")
 
 
 def approx_profile(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
