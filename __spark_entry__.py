@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle
+from tallybook.calibration import BAND_WEIGHT, BANDS, DEFAULT, PRODUCT_WEIGHT
 from tallybook.functions import draws as D
 from tallybook.functions.draws import add
 from tallybook.functions.numeric import text
 from tallybook.operators import reports as R
 from tallybook.operators import structure as S
-from tallybook.operators.borrower import with_borrower, with_score_and_term, with_segments
-from tallybook.operators.risk import expected_loss, with_risk
+from tallybook.operators.borrower import (
+    with_borrower,
+    with_capacity,
+    with_credit_file,
+    with_flags,
+    with_score_and_term,
+)
+from tallybook.operators.expectations import mix_fits
+from tallybook.operators.risk import expected_loss, scorecard_pd, with_risk
+from tallybook.operators.scorecard import with_points
+from tallybook.operators.sketches import PROBS, portfolio_profile
 from tallybook.operators.structure import with_base_amount, with_structure
 from tallybook.operators.validate import (
     domain_check,
@@ -38,6 +48,7 @@ from tallybook.plans.review import expectations
 from tallybook.schema import MULTIPLIERS
 from tallybook.session import configure
 from tallybook.sources.keys import key_table, keyed, with_ids
+from tallybook.sources.snapshots import append_batch
 from tallybook.sources.store import (
     create_database,
     read_portfolio,
@@ -149,25 +160,125 @@ def report(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain(build(portfolio(spark, sf_dir)))
 
 
+def ordered_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws for every order, beside its date, price, priority and its customer's balance."""
+    orders, customers = (table(configure(spark), sf_dir, n) for n in ("orders", "customer"))
+    known = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
+        "CAST(o_orderkey AS BIGINT) AS application_seq", "o_orderpriority", "o_totalprice", "o_orderdate", "c_acctbal"
+    )
+    return D.with_draws(with_ids(known), "application_id", text(BASE.population_id))
+
+
+def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as applications: dated as they are, product by priority, band by the customer's balance."""
+    products = ", ".join(text(p) for p in PRODUCT_WEIGHT)
+    bands = R.bucket("c_acctbal", ("0D", "2500D", "5000D", "7500D"), BANDS[::-1])
+    labelled = add(
+        ordered_draws(spark, sf_dir),
+        application_date="CAST(o_orderdate AS DATE)",
+        product_type=f"element_at(array({products}), CAST(substr(o_orderpriority, 1, 1) AS INT))",
+    )
+    return labelled.withColumn("score_band", F.when(F.col("c_acctbal").isNull(), BANDS[-1]).otherwise(bands))
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = bind([BASE])
-    segmented = with_score_and_term(with_segments(draws(spark, sf_dir), params))
-    return with_base_amount(segmented, params)
+    return with_base_amount(with_score_and_term(order_segments(spark, sf_dir)), bind([BASE]))
+
+
+def order_borrowers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segmented = with_score_and_term(order_segments(spark, sf_dir))
+    return with_flags(with_credit_file(with_capacity(segmented, bind([BASE]))))
 
 
 def category_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(R.product_mix(with_segments(draws(spark, sf_dir), bind([BASE]))))
+    """A weighted category for every order, and what each priority sends to it."""
+    weights = {p: bind([BASE])(w) for p, w in PRODUCT_WEIGHT.items()}
+    drawn = add(ordered_draws(spark, sf_dir), kind=D.draw_category("u2", weights), price="CAST(o_totalprice AS DECIMAL(18,2))")
+    by = drawn.groupBy("o_orderpriority", "kind")
+    return plain(by.agg(F.count("*").alias("applications"), F.sum("price").alias("price")))
 
 
 def ladder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ("score_band", "delinquency_count_12m")
-    return borrowers(spark, sf_dir).groupBy(*by).agg(F.count("*").alias("applications"))
+    return order_borrowers(spark, sf_dir).groupBy(*by).agg(F.count("*").alias("applications"))
 
 
 def flag_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = ("major_derogatory", "bankruptcy", "prequalified", "returning_customer")
     rates = [R.rate(f"{f}_rate", f"{f}_flag", 4) for f in flags]
-    return plain(R.segment_profile(borrowers(spark, sf_dir), "score_band", rates))
+    return plain(R.segment_profile(order_borrowers(spark, sf_dir), "score_band", rates))
+
+
+def customer_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shaped draws, draws with outliers and counts with a tail, by market segment and within real balances."""
+    segment, rest = "c_mktsegment", "*"
+    u = {i: D.hash_uniform("CAST(c_custkey AS STRING)", "'SEGMENT_V1'", f"u{i}") for i in range(1, 6)}
+    shapes = {"BUILDING": (-1000, 8000, 0.65), rest: (500, 9000, 1.0)}
+    ranges = {"BUILDING": (0.18, 0.22), rest: (0.3, 0.25)}
+    outliers = {"below": (0.08, 0.15), "above": (0.93, 0.10)}
+    counts = {"BUILDING": (6, 12, 0.93, 8), rest: (1, 8, 0.98, 7)}
+    drawn = add(
+        table(configure(spark), sf_dir, "customer"),
+        balance=D.draw_power_by(segment, u[1], shapes, "-500D", "c_acctbal + 5000D"),
+        share=D.draw_with_outliers(segment, u[2], u[3], ranges, outliers, "0.05D", "0.7D"),
+        lines=D.draw_count_with_tail(segment, u[4], u[5], counts, (1, 25)),
+    )
+    return plain(drawn.select("c_custkey", "c_mktsegment", "balance", "share", "lines"))
+
+
+def mix_fits_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Do products and bands come as often as the scenario says, for this many rows?"""
+    rows = portfolio(spark, sf_dir)
+    checks = [
+        mix_fits(rows, label, {k: float(getattr(BASE, w)) for k, w in weights.items()})
+        for label, weights in (("product_type", PRODUCT_WEIGHT), ("score_band", BAND_WEIGHT))
+    ]
+    return checks[0].unionByName(checks[1]).select("rule", "ok", F.round("observed", 6).alias("observed"))
+
+
+def sketched_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile merged from the sketches of two slices; ``near`` if the ranks of all quartiles are within the error."""
+    keys = order_keys(spark, sf_dir)
+    path = workspace(spark, "sketched")
+    build_portfolio(keys, (replace(BASE, application_count=keys.count()),), path)
+    portfolio_profile(spark, path)
+    added = keyed(table(spark, sf_dir, "customer"), "c_custkey").selectExpr("application_seq + 50000000 AS application_seq")
+    append_batch(score_portfolio(added, BASE), 0, path, "customers")
+    rows = portfolio_profile(spark, path).collect()  # one row a variable
+    tests = []
+    for r in rows:
+        for name, p in PROBS.items():
+            value = f"{r[name]!r}D"
+            below, upto = (f"count_if(CAST({r.variable_name} AS DOUBLE) {op} {value}) / count({r.variable_name})" for op in ("<", "<="))
+            tests.append(f"({below} <= {p + r.rank_error} AND {upto} >= {p - r.rank_error}) AS {r.variable_name}_{name}")
+    near = read_portfolio(spark, path).agg(*[F.expr(t) for t in tests]).first()
+    told = [
+        (r.variable_name, r.n, r.min_val, r.max_val, r["mean"], all(near[f"{r.variable_name}_{p}"] for p in PROBS)) for r in rows
+    ]
+    shown = spark.createDataFrame(told, "variable_name string, n long, min_val double, max_val double, mean double, near boolean")
+    digits = F.expr("CASE " + " ".join(f"WHEN variable_name = '{c}' THEN {R.report_value('mean', s)}" for c, s in R.PROFILE_SCALES.items()) + " END")
+    return shown.withColumn("mean", digits.cast("double"))
+
+
+def lineitem_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of every line item by a table of breakpoints, its PD, LGD and expected loss."""
+    breakpoints = spark.sql(
+        "SELECT * FROM VALUES ('discount', NULL, 0.02D, 0.90BD), ('discount', 0.02D, 0.05D, 1.00BD), ('discount', 0.05D, 0.08D, 1.15BD),"
+        " ('discount', 0.08D, NULL, 1.40BD), ('quantity', NULL, 5D, 1.20BD), ('quantity', 5D, 20D, 1.05BD), ('quantity', 20D, 40D, 1.00BD),"
+        " ('quantity', 40D, NULL, 0.95BD), ('age', NULL, 0D, 1.30BD), ('age', 0D, 365D, 1.10BD), ('age', 365D, NULL, 1.00BD)"
+        " AS t(characteristic, low, high, points)"
+    )
+    values = {"discount": "l_discount", "quantity": "l_quantity", "age": "CAST(datediff(l_shipdate, DATE'1995-01-01') AS DOUBLE)"}
+    lines = with_points(table(configure(spark), sf_dir, "lineitem"), breakpoints, values)
+    lines = add(
+        lines,
+        base="CASE l_returnflag WHEN 'R' THEN 0.14BD WHEN 'A' THEN 0.06BD ELSE 0.025BD END",
+        lgd="CASE l_linestatus WHEN 'F' THEN 0.45BD ELSE 0.70BD END",
+    )
+    factors = ("base", *(f"points_{n}" for n in values))
+    lines = add(lines, pd=scorecard_pd(factors, "0D", replace(DEFAULT, pd_jitter=(1.0, 0.0))))
+    lines = add(lines, loss=expected_loss("l_extendedprice", "pd", "lgd"))
+    return plain(lines.select("l_orderkey", "l_linenumber", *factors[1:], "pd", "loss"))
 
 
 def expected_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,7 +625,7 @@ def scoring_queries() -> dict[str, Query]:
         "draw_ladder": ladder_counts,
         "draw_flags": flag_rates,
         "borrower_profile": pick(
-            borrowers,
+            order_borrowers,
             "annual_income",
             "debt_to_income_ratio",
             "utilization_rate",
@@ -539,6 +650,10 @@ def scoring_queries() -> dict[str, Query]:
         "shared_portfolio": shared_portfolio,
         "scenario_attribution": attributed,
         "scenario_table_totals": scenario_table_totals,
+        "customer_draws": customer_draws,
+        "mix_fits_targets": mix_fits_targets,
+        "sketched_profile": sketched_profile,
+        "lineitem_scorecard": lineitem_scorecard,
         "scenario_sweep": sweep_rows,
         "scenario_totals": sweep_totals,
         "scenario_compare": compared,

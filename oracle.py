@@ -13,6 +13,7 @@ from itertools import permutations
 
 from tallybook import calibration as C
 from tallybook.functions.draws import DRAWS
+from tallybook.operators import expectations as X
 from tallybook.operators import reports as R
 from tallybook.params import Scenario
 from tallybook.schema import APPLICATION_SCHEMA, MULTIPLIERS
@@ -132,8 +133,18 @@ def product_rows(s: Scenario) -> str:
     return f"(VALUES {', '.join(rows)}) AS p({names})"
 
 
-def applications(s: Scenario, tag: str = "", key: str = "o_orderkey", source: str = "orders") -> str:
-    """Common table expressions that end in ``scored<tag>``."""
+def applications(
+    s: Scenario,
+    tag: str = "",
+    key: str = "o_orderkey",
+    source: str = "orders",
+    carried: str = "",
+    labels: tuple[str, str, str] | None = None,
+) -> str:
+    """Common table expressions that end in ``scored<tag>``.
+
+    ``labels`` gives date, product and band as expressions of the ``carried`` columns, instead of draws.
+    """
     products = cumulative(getattr(s, w) for w in C.PRODUCT_WEIGHT.values())
     bands = cumulative(getattr(s, w) for w in C.BAND_WEIGHT.values())
     us = ", ".join(
@@ -141,6 +152,11 @@ def applications(s: Scenario, tag: str = "", key: str = "o_orderkey", source: st
         for i in range(1, DRAWS + 1)
     )
     days = (s.portfolio_end_date - s.portfolio_start_date).days + 1
+    date_, product_, band_ = labels or (
+        f"(DATE '{s.portfolio_start_date}' + floor(u1 * {days})::INTEGER)::DATE",
+        chosen("u2", C.PRODUCTS, products),
+        chosen("u3", C.BANDS, bands),
+    )
     cap_lo, cap_w = C.MORTGAGE_CAP_DISPERSION
     jit_lo, jit_w = C.PD_JITTER
     tl_lo, tl_hi = C.TRADELINE_LIMITS
@@ -161,13 +177,14 @@ keys{tag} AS (
   SELECT {key}::BIGINT AS application_seq,
          'APP-' || lpad(({key})::VARCHAR, 8, '0') AS application_id,
          'CUST-' || lpad(({key})::VARCHAR, 8, '0') AS applicant_id
+         {', ' + carried if carried else ''}
   FROM {source}),
 drawn{tag} AS (SELECT *, {us} FROM keys{tag}),
 labelled{tag} AS (
   SELECT *,
-    (DATE '{s.portfolio_start_date}' + floor(u1 * {days})::INTEGER)::DATE AS application_date,
-    {chosen('u2', C.PRODUCTS, products)} AS product_type,
-    {chosen('u3', C.BANDS, bands)} AS score_band
+    {date_} AS application_date,
+    {product_} AS product_type,
+    {band_} AS score_band
   FROM drawn{tag}),
 based{tag} AS (
   SELECT l.*, b.*, p.*,
@@ -449,8 +466,20 @@ def statements(base: Scenario, stress: Scenario, tight: Scenario) -> dict[str, s
     balance_labels = ("negative", "low", "middle", "high", "top")
     balance = bucketed("customer", "c_acctbal", (0, 2500, 5000, 7500), balance_labels, "balance_bucket")
 
-    def listed(*names: str) -> str:
-        return f"{one} SELECT {columns(['application_id', *names])} FROM scored"
+    priority = "['MORTGAGE', 'REVOLVING_LINE', 'AUTO_LOAN', 'UNSECURED_PERSONAL_LOAN', 'HELOC'][substr(o_orderpriority, 1, 1)::INTEGER]"
+    balance_band = (
+        "CASE WHEN c_acctbal >= 7500 THEN 'SUPER_PRIME' WHEN c_acctbal >= 5000 THEN 'PRIME'"
+        " WHEN c_acctbal >= 2500 THEN 'NEAR_PRIME' WHEN c_acctbal >= 0 THEN 'SUBPRIME' ELSE 'DEEP_SUBPRIME' END"
+    )
+    real = "WITH " + applications(
+        base,
+        source="orders LEFT JOIN customer ON c_custkey = o_custkey",
+        carried="o_orderpriority, o_totalprice, o_orderdate, c_acctbal",
+        labels=("o_orderdate::DATE", priority, balance_band),
+    )
+
+    def listed(*own: str, source: str = one, names: Iterable[str] = ()) -> str:
+        return f"{source} SELECT {columns(['application_id', *own, *names])} FROM scored"
 
     def top(where: str, order: str) -> str:
         return (
@@ -470,20 +499,27 @@ def statements(base: Scenario, stress: Scenario, tight: Scenario) -> dict[str, s
         + ", ".join(f"u{i}" for i in range(1, DRAWS + 1))
         + " FROM drawn",
         "keyed_ids": f"{one} SELECT application_seq, application_id, applicant_id FROM keys",
-        "draw_category_mix": one + grouped("scored", ["product_type"], ()),
+        "draw_category_mix": real + " SELECT o_orderpriority, kind, count(*) AS applications, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS price"
+        f" FROM (SELECT *, {chosen('u2', C.PRODUCTS, cumulative(getattr(base, w) for w in C.PRODUCT_WEIGHT.values()))} AS kind"
+        " FROM drawn) GROUP BY ALL",
         "draw_segments": listed(
+            source=real,
+            names=(
             "application_date",
             "product_type",
             "score_band",
             "credit_score",
             "loan_term_months",
             "base_amount",
+            ),
         ),
-        "draw_ladder": f"{one} SELECT score_band, delinquency_count_12m,"
+        "draw_ladder": f"{real} SELECT score_band, delinquency_count_12m,"
         " count(*) AS applications FROM scored GROUP BY ALL",
-        "draw_flags": one
+        "draw_flags": real
         + grouped("scored", ["score_band"], [R.rate(f"{f}_rate", f"{f}_flag") for f in flags]),
         "borrower_profile": listed(
+            source=real,
+            names=(
             "annual_income",
             "debt_to_income_ratio",
             "utilization_rate",
@@ -495,6 +531,7 @@ def statements(base: Scenario, stress: Scenario, tight: Scenario) -> dict[str, s
             "bankruptcy_flag",
             "prequalified_flag",
             "returning_customer_flag",
+            ),
         ),
         "requested_amount": listed("product_type", "base_amount", "requested_amount"),
         "apr_bounds": listed("product_type", "apr_raw", "base_apr_for_payment_calc"),
@@ -651,6 +688,41 @@ SELECT l_orderkey, l_linenumber, product_type, payment,
         " UNION ALL SELECT scenario_name, product_type, expected_loss_amount FROM scored_s"
         " UNION ALL SELECT scenario_name, product_type, expected_loss_amount FROM scored_k) GROUP BY ALL"
     )
+    own["mix_fits_targets"] = one + " UNION ALL ".join(
+        f"SELECT '{label} mix fits its targets' AS rule, sum(x) <= {d(X.chi_square_limit(4, 0.001))} AS ok,"
+        f" round(sum(x), 6) AS observed FROM (SELECT pow(count(*) FILTER ({label} = k) - count(*) * p, 2) / (count(*) * p) AS x"
+        f" FROM scored, (VALUES {', '.join(f'({chr(39)}{k}{chr(39)}, {d(getattr(base, w))})' for k, w in weights.items())}) t(k, p)"
+        " GROUP BY k, p)"
+        for label, weights in (("product_type", C.PRODUCT_WEIGHT), ("score_band", C.BAND_WEIGHT))
+    )
+    both = " UNION ALL ".join(f"SELECT {', '.join(R.PROFILE_SCALES)} FROM scored{t}" for t in ("", "_k"))
+    own["sketched_profile"] = f"WITH {applications(base)}, {added}, every AS ({both}) " + " UNION ALL ".join(
+        f"SELECT '{c}' AS variable_name, count({c}) AS n, min({c})::DOUBLE AS min_val, max({c})::DOUBLE AS max_val,"
+        f" {rounded(f'sum({c})::DOUBLE / count({c})', s)} AS mean, true AS near FROM every"
+        for c, s in R.PROFILE_SCALES.items()
+    )
+    own["lineitem_scorecard"] = """
+WITH p AS (SELECT l_orderkey, l_linenumber, l_extendedprice,
+    CASE WHEN l_discount < 0.02 THEN 0.90 WHEN l_discount < 0.05 THEN 1.00 WHEN l_discount < 0.08 THEN 1.15 ELSE 1.40 END AS discount,
+    CASE WHEN l_quantity < 5 THEN 1.20 WHEN l_quantity < 20 THEN 1.05 WHEN l_quantity < 40 THEN 1.00 ELSE 0.95 END AS quantity,
+    CASE WHEN datediff('day', DATE '1995-01-01', l_shipdate::DATE) < 0 THEN 1.30 WHEN datediff('day', DATE '1995-01-01', l_shipdate::DATE) < 365
+      THEN 1.10 ELSE 1.00 END AS age,
+    CASE l_returnflag WHEN 'R' THEN 0.14 WHEN 'A' THEN 0.06 ELSE 0.025 END AS base,
+    CASE l_linestatus WHEN 'F' THEN 0.45 ELSE 0.70 END AS lgd FROM lineitem),
+q AS (SELECT *, floor(least(0.45::DOUBLE, greatest(0.005::DOUBLE, base::DOUBLE * discount::DOUBLE * quantity::DOUBLE * age::DOUBLE))
+    * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS pd FROM p)
+SELECT l_orderkey, l_linenumber, discount::DOUBLE AS points_discount, quantity::DOUBLE AS points_quantity, age::DOUBLE AS points_age,
+  pd, round(l_extendedprice::DECIMAL(20,2) * pd::DECIMAL(7,6) * lgd::DECIMAL(7,6), 2)::DOUBLE AS loss FROM q"""
+    own["customer_draws"] = f"""
+SELECT c_custkey, c_mktsegment,
+  floor(least(c_acctbal + 5000.0::DOUBLE, greatest(-500.0::DOUBLE, CASE WHEN {building} THEN -1000.0::DOUBLE + pow({u[1]}, 0.65::DOUBLE) * 8000.0::DOUBLE
+    ELSE 500.0::DOUBLE + {u[1]} * 9000.0::DOUBLE END)) * 100.0::DOUBLE + 0.5::DOUBLE)::BIGINT / 100.0::DOUBLE AS balance,
+  floor(least(0.7::DOUBLE, greatest(0.05::DOUBLE, CASE WHEN {building} THEN 0.18::DOUBLE + {u[2]} * 0.22::DOUBLE
+    ELSE 0.3::DOUBLE + {u[2]} * 0.25::DOUBLE END + CASE WHEN {u[3]} < 0.08 THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END
+    - CASE WHEN {u[3]} > 0.93 THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END)) * 10000.0::DOUBLE + 0.5::DOUBLE)::BIGINT / 10000.0::DOUBLE AS share,
+  least(25, greatest(1, CASE WHEN {building} THEN floor(6 + {u[4]} * 12)::INT + CASE WHEN {u[5]} > 0.93 THEN 8 ELSE 0 END
+    ELSE floor(1 + {u[4]} * 8)::INT + CASE WHEN {u[5]} > 0.98 THEN 7 ELSE 0 END END)) AS lines
+FROM customer"""
     more = {
         "report_files": own["portfolio_mix_product"],
         "bucketed_compare": own["scenario_compare"],

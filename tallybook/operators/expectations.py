@@ -6,6 +6,7 @@ for all its checks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -46,6 +47,50 @@ def near_target(
     return _inlined(gaps, [_check(f"{label} share near target", "gap", tolerance)])
 
 
+def chi_square_limit(freedom: int, alpha: float) -> float:
+    """The value that a chi-square figure exceeds with probability ``alpha``."""
+
+    def above(x: float) -> float:
+        # upper tail of the chi-square distribution, by the series of the lower incomplete gamma function
+        a, half = freedom / 2, x / 2
+        term = total = 1 / a
+        n = a
+        while term > total * 1e-15:
+            n += 1
+            term *= half / n
+            total += term
+        return 1 - total * math.exp(a * math.log(half) - half - math.lgamma(a)) if half else 1.0
+
+    low, high = 0.0, 10.0 * freedom + 100.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if above(middle) > alpha else (low, middle)
+    return low
+
+
+def mix_fits(
+    df: DataFrame, label: str, targets: Mapping[str, float], alpha: float = 0.001
+) -> DataFrame:
+    """Do the counts of a label fit its target shares, given the number of rows?
+
+    A fixed tolerance of a share is too wide for millions of rows and too narrow for a few hundred; the chi-square
+    figure of counts against targets grows with a true deviation and not with the rows. ``observed`` is that figure, and
+    a check fails where it would come about by chance with probability ``alpha``. Any row with a label that has no target, or a
+    target of zero, fails. Shares need not sum to one.
+    """
+    whole = sum(targets.values())
+    used = {k: v / whole for k, v in targets.items() if v > 0}
+    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    sums = [F.sum("n").alias("rows")]
+    sums += [F.sum(F.when(F.col(label) == k, F.col("n")).otherwise(0)).alias(f"n{i}") for i, k in enumerate(used)]
+    totals = counts.agg(*sums)
+    parts = [f"pow(n{i} - rows * {num(p)}, 2) / (rows * {num(p)})" for i, p in enumerate(used.values())]
+    other = " - ".join(["rows", *[f"n{i}" for i in range(len(used))]])
+    figure = f"CASE WHEN coalesce(rows, 0) = 0 THEN 0D WHEN {other} > 0 THEN CAST('Infinity' AS DOUBLE) ELSE {' + '.join(parts)} END"
+    limit = chi_square_limit(len(used) - 1, alpha) if len(used) > 1 else 0.0
+    return _inlined(totals, [_check(f"{label} mix fits its targets", figure, limit)])
+
+
 def at_limit(df: DataFrame, column: str, limit: str, most: float) -> DataFrame:
     """Is the share of rows that sit at a limit no more than ``most``?"""
     crowd = f"CAST(count_if({column} >= {limit}) AS DOUBLE) / nullif(count(*), 0)"

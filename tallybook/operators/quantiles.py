@@ -105,13 +105,19 @@ def _same(by: Sequence[str]) -> Column:
 
 def _from_windows(df: DataFrame, by: Sequence[str], first: DataFrame, wanted: Mapping[str, list[float]]) -> DataFrame:
     """The first scan's rows with a quantile ``_q<column>_<prob>`` each, NULL where its window missed; staged."""
-    windows = first.select(*[F.col(c).alias(f"_{c}") for c in by], *[f"_w{j}" for j in range(len(wanted))])
+    places = [(j, c, k) for j, (c, probs) in enumerate(wanted.items()) for k in range(len(probs))]
+    ends_ = [
+        F.expr(_outward(f"_w{j}[{2 * k + side}]", df.schema[c].dataType, sign)).alias(f"_{name}_end{j}_{k}")
+        for j, c, k in places
+        for side, name, sign in ((0, "low", "-"), (1, "high", "+"))
+    ]
+    windows = first.select(*[F.col(c).alias(f"_{c}") for c in by], *ends_)
     rows = df.select(*by, *[F.col(c).alias(f"_x{j}") for j, c in enumerate(wanted)])
     rows = rows.join(F.broadcast(windows), _same(by)) if by else rows.crossJoin(F.broadcast(windows))
     counts = []
     for j, probs in enumerate(wanted.values()):
         for k in range(len(probs)):
-            x, low, high, at = f"_x{j}", f"_w{j}[{2 * k}]", f"_w{j}[{2 * k + 1}]", f"{j}_{k}"
+            x, low, high, at = f"_x{j}", f"_low_end{j}_{k}", f"_high_end{j}_{k}", f"{j}_{k}"
             counts += [
                 f"any_value({low}, true) AS _low{at}",
                 f"any_value({high}, true) AS _high{at}",
@@ -135,6 +141,20 @@ def _from_windows(df: DataFrame, by: Sequence[str], first: DataFrame, wanted: Ma
     return stage(second.selectExpr(*names, *ends).selectExpr(*names, *values), "quantiles")
 
 
+def _outward(edge: Sql, kind: T.DataType, sign: str) -> Sql:
+    """The end of a window in its own type. A sketch holds doubles; where these skip whole units, the window is widened."""
+    if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return edge
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    units = f"abs(CAST({edge} AS DOUBLE)) * {float(10**scale)!r}D"
+    slack = f"CAST(ceil({units} * 2.3e-16D) AS DECIMAL(20,0)) * {Decimal(1).scaleb(-scale):f}BD"
+    return f"if({units} > {float(2**52)!r}D, CAST({edge} {sign} {slack} AS {_wide(kind)}), CAST({edge} AS {_wide(kind)}))"
+
+
+def _wide(kind: T.DataType) -> str:
+    return f"DECIMAL(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "DECIMAL(20,0)"
+
+
 def _neighbours(kind: T.DataType, n: Sql, prob: float, at: str) -> list[Sql]:
     """The values at the two ranks next to a quantile of n rows and the share between them, from a window's counts."""
     exact = isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.precision <= 28
