@@ -19,7 +19,8 @@ the first of each range also goes, as a marked row, to the range above.
 
 Defined cases: null is an empty text, whose fingerprint is `0:A`; documents with equal ids
 follow each other in the order of their texts; a null id comes last; one document is its own next;
-extra columns are left out.
+repeated rows are documents of their own; an empty table gives an empty one; a text of any length is held once in a task, with
+some 60 bytes of tables a byte; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -30,14 +31,17 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import map_rows, pick, table
+from tallybook.llm.common import bounded_batches, map_rows, pick, table
+from tallybook.operators.scorecard import found_at
 
 WINDOW = 7
 DIGITS = 64
 RUN = 4
 LEAST = 8
 LEVELS = 65
+#: A range is read in order and never held, so beyond so many ranges they just get longer.
 RANGE_CHARS = 16_000_000
+MOST_RANGES = 65_536
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
 ROLL = 0xD6E8FEB86659FD93
@@ -160,31 +164,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def neighbour_ranges(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     """doc_id, text, place, marked: each range of ids in one place, with the first of the range below.
 
-    `place` counts from the highest ids; the marked rows of the last place are the first documents.
+    `place` counts from the highest ids; the marked rows of the last place are the first documents. Cut points
+    and first ids are small tables, of `MOST_RANGES` rows at most, so the plan has one size for any corpus.
     """
+    spark = docs.sparkSession
     rows = pick(docs, "doc_id", "text")
     chars = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)))).first()[0] or 0
-    ranges = max(16, -(-chars // range_chars))
+    ranges = min(MOST_RANGES, max(16, -(-chars // range_chars)))
     inner = [i / ranges for i in range(1, ranges)]
-    points = sorted(set(rows.approxQuantile("doc_id", inner, 0.25 / ranges)), reverse=True)
-    cuts = F.array(*[F.lit(int(p)).cast("long") for p in points]) if points else F.expr("CAST(array() AS ARRAY<LONG>)")
-    placed = rows.withColumn(
-        "place",
-        F.when(F.col("doc_id").isNull(), F.lit(len(points))).otherwise(
-            F.size(F.filter(cuts, lambda c: c > F.col("doc_id")))
-        ),
-    )
+    points = sorted({int(p) for p in rows.approxQuantile("doc_id", inner, 0.25 / ranges)})
+    cuts = spark.createDataFrame([(points,)], "_cuts array<bigint>")
+    at = f"if(doc_id IS NULL, size(_cuts), size(_cuts) - {found_at('_cuts', 'doc_id')})"
+    placed = rows.crossJoin(F.broadcast(cuts)).selectExpr("doc_id", "text", f"{at} AS place")
     firsts = placed.groupBy("place").agg(F.max("doc_id").alias("top")).orderBy("place").collect()
-    used = [r.place for r in firsts]
-    before = {p: used[i - 1] for i, p in enumerate(used)}  # of the first range: the last one
-    to = F.create_map(*[F.lit(x) for r in firsts for x in (r.place, before[r.place])]) if firsts else F.lit(None)
-    head = F.create_map(*[F.lit(x) for r in firsts for x in (r.place, r.top)]) if firsts else F.lit(None)
-    if not firsts:
-        return placed.withColumn("marked", F.lit(0))
-    own = F.struct(F.col("place").alias("place"), F.lit(0).alias("marked"))
-    lent = F.struct(to[F.col("place")].alias("place"), F.lit(1).alias("marked"))
-    is_head = F.col("doc_id").eqNullSafe(head[F.col("place")])
-    both = placed.withColumn("at", F.explode(F.when(is_head, F.array(own, lent)).otherwise(F.array(own))))
+    # the range above; above the first range stands the last one
+    heads = spark.createDataFrame([(r.place, r.top, firsts[i - 1].place) for i, r in enumerate(firsts)], "own int, top bigint, above int")
+    met = placed.join(F.broadcast(heads), F.col("place") == F.col("own"))
+    stays = F.struct(F.col("place").alias("place"), F.lit(0).alias("marked"))
+    lent = F.struct(F.col("above").alias("place"), F.lit(1).alias("marked"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("top"))
+    both = met.withColumn("at", F.explode(F.when(is_head, F.array(stays, lent)).otherwise(F.array(stays))))
     return both.select("doc_id", "text", F.col("at.place").alias("place"), F.col("at.marked").alias("marked"))
 
 
@@ -198,6 +197,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness; see `query`."""
     import pandas as pd
 
+    bounded_batches(docs.sparkSession)
     ranged = neighbour_ranges(docs)
     dealt = ranged.repartition(F.col("place")).sortWithinPartitions(
         "place", "marked", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")

@@ -168,3 +168,64 @@ def test_one_row_of_repeats_that_differ_elsewhere(spark):
         for k in range(3)
     }
     assert kept == {"s0"}
+
+
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def plain_fingerprint(text):
+    """Context-triggered pieces byte by byte, with whole integers; written from the description of the method."""
+    data, whole = text.encode(), 2**64
+    if not data:
+        return "0:A"
+    roll, mix = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
+    level = []
+    for i in range(len(data)):
+        h = sum((data[i - k] + 1) * roll ** (k + 1) for k in range(min(7, i + 1))) % whole
+        h = (h ^ h >> 32) * mix % whole
+        h ^= h >> 29
+        ones = 0
+        while h >> ones & 1:
+            ones += 1
+        level.append(ones)
+
+    def digits(bits):
+        out, piece = [], 0
+        start = 0
+        for i, byte in enumerate(data):
+            piece = (piece + (byte + 1) * pow(mix, i - start, whole)) % whole
+            if level[i] >= bits or i == len(data) - 1:
+                d = (piece ^ piece >> 31) * roll % whole >> 58
+                out.append(d)
+                piece, start = 0, i + 1
+        return thinned(out)
+
+    def thinned(found):
+        """Of a run of equal digits three stay, as the operator counts them."""
+        return [d for i, d in enumerate(found) if i < 3 or len(found) < 4 or not (found[i] == found[i - 1] == found[i - 2] == found[i - 3])]
+
+    e = next(b for b in range(66) if sum(x >= b for x in level) <= 64)
+    found = digits(e)
+    while e and len(found) <= 32 and len(finer := digits(e - 1)) <= 65:
+        e, found = e - 1, finer
+    parts, bits = [], e
+    while bits == e or len(found) >= 8:
+        parts.append("".join(ALPHABET[d] for d in found))
+        bits += 1
+        found = digits(bits)
+    return ":".join([str(e), *parts])
+
+
+def test_fingerprints_against_whole_integers():
+    rows = random.Random(12)
+    maker = ctph.Fingerprinter()
+    texts = ["", "a", "aaaa" * 30, "é" * 50, "one two three"]
+    texts += ["".join(rows.choices("abc de.\n", k=rows.randint(1, 1500))) for _ in range(60)]
+    for text in texts:
+        assert maker.fingerprint(text) == plain_fingerprint(text), text[:80]
+
+
+def test_the_plan_of_neighbours_has_one_size(spark):
+    docs = spark.range(4000).selectExpr("id * 7 AS doc_id", "repeat('word ', 20) AS text")
+    few, many = (ctph.neighbour_ranges(docs, chars)._jdf.queryExecution().executedPlan().toString() for chars in (100_000, 500))
+    assert len(many.splitlines()) == len(few.splitlines()) and len(many) < 1.2 * len(few)
