@@ -8,8 +8,10 @@ The vectors are dealt into pages of a partition by their nearest pivot, the pivo
 documented sample that follows from the ids; a pivot with more vectors than a tree should hold
 (eight times the root of their number, 1,024 at least) is dealt into several trees by hash. Each partition builds its own M-tree in one task: leaf pages of `PAGE` vectors,
 each with a routing vector and a covering radius, under inner pages of `PAGE` nodes, which store the
-distance to their parent's routing vector. Queries meet the partitions in blocks. A block searches a
-tree best first: a queue holds nodes by the least distance at which they can hold anything, a node
+distance to their parent's routing vector. A query first searches the tree whose middle is nearest. Its k-th score
+there is a bound, and it then goes to the other trees whose covering radius lets them hold something as good; the middles and
+radii of all trees are few, as trees grow with the root of the number of vectors. A tree is searched
+best first: a queue holds nodes by the least distance at which they can hold anything, a node
 is expanded while that is below the query's k-th distance, and the stored distances to the
 parent rule out children through the triangle inequality before their own distance is computed. The
 distances only decide what is visited, with a slack for rounding; scores are exact integers.
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallybook.llm.common import pick, table
+from tallybook.llm.common import checkpointed, pick, table
 
 K = 5
 EVERY = 50
@@ -102,8 +104,8 @@ class Tree:
             stack += [own[order[half:]], own[order[:half]]]
         return np.concatenate(out)
 
-    def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[list[tuple[int, int]], int]:
-        """The k best (score, vec_id) and the number of distances computed."""
+    def search(self, query_id: int, q: np.ndarray, k: int, floor: int | None = None) -> tuple[list[tuple[int, int]], int]:
+        """The k best (score, vec_id), of those that reach a score of `floor`, and the number of distances computed."""
         lifted = np.append(q.astype(np.float64), 0.0)
         square = float((lifted * lifted).sum())
         slack = 1e-5 * (1.0 + math.sqrt(square) + self.root[1])
@@ -111,6 +113,8 @@ class Tree:
         queue = [(max(0.0, far - self.root[1]), 0, len(self.levels) - 1, 0, far)]
         best: list[tuple[int, int]] = []  # a heap of (score, -vec_id), the worst on top
         reach, steps, made = np.inf, 0, 1
+        if floor is not None:
+            reach = math.sqrt(max(0.0, square + float(self.squares[0][0]) - 2.0 * floor))
         while queue:
             least, _, level, node, own = heapq.heappop(queue)
             if least > reach + slack:
@@ -163,8 +167,6 @@ def nearest_pivot(rows: DataFrame, pivots: list[list[int]]) -> DataFrame:
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: float = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: for each row with an id divisible by `every` its k best others."""
-    import pandas as pd
-
     spark = vectors.sparkSession
     rows = integers(vectors, scale)
     pivots = rows.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(PIVOTS).collect()
@@ -183,43 +185,98 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: float = SCA
     lookup = F.create_map(*[F.lit(v) for c in base for v in (c, base[c])])
     parts = F.create_map(*[F.lit(v) for c in cells for v in (c, cells[c])])
     salt = F.pmod(F.xxhash64("vec_id"), parts[F.col("cell")].cast("long"))
-    indexed = placed.select((lookup[F.col("cell")] + salt).cast("int").alias("tree"), F.lit(-1).alias("block"), "vec_id", "x")
-
-    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
-    blocks = max(1, -(-asked.count() // BLOCK))
-    asked = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("tree"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-        "vec_id",
-        "x",
+    indexed = checkpointed(placed.select((lookup[F.col("cell")] + salt).cast("int").alias("tree"), "vec_id", "x"))
+    balls = indexed.groupBy("tree").applyInPandas(lambda own: ball(own, float(top)), BALL).orderBy("tree").collect()
+    sent = spark.sparkContext.broadcast([(r.tree, r.middle, r.radius) for r in balls])  # root of the rows / 8 at most
+
+    asked = checkpointed(rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("x").alias("x")))
+    asked = asked.withColumn("floor", F.lit(NONE))
+    first = checkpointed(searched(indexed, routed(asked, sent, float(top), home=True), k, float(top)))
+    floors = first.groupBy(F.col("query_id").alias("q")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    told = asked.join(floors, F.col("vec_id") == F.col("q"), "left").select(
+        "vec_id", "x", F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(NONE)).alias("floor")
     )
-    # the tree's vectors come first, then its queries, block by block
-    met = indexed.unionByName(asked).repartition("tree").sortWithinPartitions("tree", "block", "vec_id")
+    more = searched(indexed, routed(told, sent, float(top), home=False), k, float(top))
+    by = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = first.unionByName(more).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+BALL = "tree int, middle array<double>, radius double"
+NONE = -(2**62)
+
+
+def ball(own, top: float):
+    """The middle of a tree's vectors, as points of the metric, and how far the farthest is from it."""
+    import pandas as pd
+
+    x = np.array(own["x"].tolist(), np.float64)
+    points = np.hstack([x, np.sqrt(np.maximum(top - (x * x).sum(axis=1), 0.0))[:, None]])
+    middle = points.mean(axis=0)
+    radius = float(np.sqrt(((points - middle) ** 2).sum(axis=1).max()))
+    return pd.DataFrame({"tree": [own["tree"].iloc[0]], "middle": [middle.tolist()], "radius": [radius]})
+
+
+def routed(asked: DataFrame, balls, top: float, home: bool) -> DataFrame:
+    """tree, vec_id, x, floor: each query with the tree of the nearest middle, or with the others that can hold as good a score."""
+    import pandas as pd
+
+    def run(batches):
+        trees = np.array([t for t, _, _ in balls.value], np.int32)
+        middles = np.array([m for _, m, _ in balls.value])
+        radii = np.array([r for _, _, r in balls.value])
+        squares = (middles**2).sum(axis=1)
+        for batch in batches:
+            for at in range(0, len(batch), BLOCK):
+                own = batch.iloc[at : at + BLOCK].reset_index(drop=True)
+                q = np.array(own["x"].tolist(), np.float64)
+                q = np.hstack([q, np.zeros((len(q), 1))])
+                square = (q * q).sum(axis=1)
+                far = np.sqrt(np.maximum(squares[None, :] + square[:, None] - 2.0 * (q @ middles.T), 0.0))
+                nearest = far.argmin(axis=1)
+                if home:
+                    row, column = np.arange(len(q)), nearest
+                else:
+                    floor = own["floor"].to_numpy()
+                    reach = np.sqrt(np.maximum(square + top - 2.0 * floor, 0.0))
+                    slack = 1e-5 * (1.0 + np.sqrt(square)[:, None] + radii[None, :])
+                    maybe = (far - radii[None, :] <= reach[:, None] + slack) | (floor == NONE)[:, None]
+                    maybe[np.arange(len(q)), nearest] = False
+                    row, column = np.nonzero(maybe)
+                out = own.iloc[row].reset_index(drop=True)
+                yield pd.DataFrame({"tree": trees[column], "vec_id": out["vec_id"], "x": out["x"], "floor": out["floor"]})
+
+    return asked.select("vec_id", "x", "floor").mapInPandas(run, "tree int, vec_id bigint, x array<bigint>, floor bigint")
+
+
+def searched(indexed: DataFrame, asked: DataFrame, k: int, top: float) -> DataFrame:
+    """query_id, vec_id, score: the k best that each query finds in the trees that it goes to."""
+    import pandas as pd
+
+    # the tree's vectors come first, then its queries
+    own = indexed.select("tree", F.lit(0).alias("asks"), "vec_id", "x", F.lit(NONE).alias("floor"))
+    met = own.unionByName(asked.select("tree", F.lit(1).alias("asks"), "vec_id", "x", "floor"))
+    met = met.repartition("tree").sortWithinPartitions("tree", "asks", "vec_id")
 
     def run(batches):
         state = {"tree": None, "ids": [], "x": [], "index": None}
         for batch in batches:
             out = []
-            for tree, block, vec_id, x in zip(batch["tree"], batch["block"], batch["vec_id"], batch["x"]):
+            for tree, asks, vec_id, x, floor in zip(*[batch[c] for c in ("tree", "asks", "vec_id", "x", "floor")]):
                 if tree != state["tree"]:
                     state = {"tree": tree, "ids": [], "x": [], "index": None}
-                if block < 0:
+                if not asks:
                     state["ids"].append(vec_id)
                     state["x"].append(x)
                     continue
                 if state["index"] is None:
-                    if not state["ids"]:
-                        continue
-                    state["index"] = Tree(np.array(state["ids"], np.int64), np.array(state["x"], np.int64), float(top))
-                    state["ids"], state["x"] = [0], []
-                found, _ = state["index"].search(int(vec_id), np.array(x, np.int64), k)
+                    state["index"] = Tree(np.array(state["ids"], np.int64), np.array(state["x"], np.int64), top)
+                    state["ids"] = state["x"] = []
+                found, _ = state["index"].search(int(vec_id), np.array(x, np.int64), k, None if floor == NONE else int(floor))
                 out += [(vec_id, other, score) for score, other in found]
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
 
-    best = met.mapInPandas(run, "query_id bigint, vec_id bigint, score bigint")
-    by = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return met.mapInPandas(run, "query_id bigint, vec_id bigint, score bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,6 +210,28 @@ def test_links_sql_on_planted_copies(spark, tmp_path):
     assert vectors.count() > near_vectors.query(spark, str(tmp_path)).where("kept").count()
 
 
+def test_queries_skip_trees_that_are_too_far(spark):
+    rng = np.random.default_rng(10)
+    centers = rng.normal(size=(16, 8)) * 50
+    rows = [(i, (centers[i % 16] + rng.normal(size=8)).tolist()) for i in range(6000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows}
+    visits = []
+    real = mtree.routed
+    try:
+        mtree.routed = lambda *a, **k: visits.append(real(*a, **k)) or visits[-1]
+        found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in mtree.top_k(vectors).collect()}
+    finally:
+        mtree.routed = real
+    ids, x = np.array(list(whole)), np.array(list(whole.values()))
+    for q in range(0, 6000, 500):
+        scores = x @ whole[q]
+        best = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != q)[:5]
+        assert [found[q, n] for n in range(1, 6)] == [(i, -s) for s, i in best]
+    home, rest = (v.count() for v in visits)
+    assert home == 120 and rest < 120 * 8  # of 15 other trees or more
+
+
 def test_top_k_of_vectors_of_several_lengths(spark):
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=8 if i % 2 else 5).tolist()) for i in range(0, 600, 5)] + [(7, [])]
