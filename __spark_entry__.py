@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from decimal import Decimal
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -60,9 +61,10 @@ from tallybook.sources.store import (
 )
 from tallybook.streaming.scoring import append_portfolio, score_stream
 
-try:
+# The corpus queries are there if their folder is; a library that they lack is an error, not fewer queries.
+if find_spec("tallybook.llm") and find_spec("tallybook.llm.queries") and find_spec("corpus_pipeline"):
     from tallybook.llm import queries as corpus
-except ImportError:
+else:
     corpus = None
 
 Query = Callable[[SparkSession, str], DataFrame]
