@@ -15,8 +15,9 @@ The store of encoded chunks is emptied when it holds `STORE_CHARS` code points,
 only. Decoding works piece by piece too, as every piece is a whole string.
 
 Defined cases: null is an empty text; an empty text has no tokens; the string of a special token in
-a text gives that token, as in the library; repeated rows give repeated results; extra columns are
-left out.
+a text gives that token, as in the library; repeated rows give repeated results; a text of any length is
+encoded chunk by chunk, its tokens being held at once; there are no ties, as the merges have one order; an empty table gives an
+empty one; extra columns are left out.
 """
 
 from __future__ import annotations

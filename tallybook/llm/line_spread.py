@@ -8,8 +8,9 @@ but the first, by doc_id and place in the text.
 
 Defined cases: a null text has no lines and stays null; an empty text is one empty line; a null
 source is no site; rows that repeat a doc_id and text count as one document and are treated alike;
-a null doc_id sorts before all others; a text of which nothing is left becomes empty; rows are
-never dropped; extra columns pass through.
+a null doc_id sorts before all others; a text of which nothing is left becomes empty; of equal lines the one with the
+smallest id, then row hash, then place is the first; a long text is as many rows as it has lines; an empty table gives an empty one;
+rows are never dropped; extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,8 +18,9 @@ holds arrays of fixed length, and documents meet it in a join that Spark broadca
 small and splits where a source is hot.
 
 Defined cases: a null text has 0 words; a null source is a source of its own, the last one; a
-source without words has target 0 and is not taken; repeated rows with one id are taken alike;
-extra columns pass through.
+source without words has target 0 and is not taken; repeated rows with one id are taken alike; ties of draws are
+broken by id; a long text counts like any other, its words being counted once to plan; an empty table gives an empty one;
+extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ tasks follow by `components.roots`.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are linked like any other;
 a text with fewer words than a shingle is one shingle; repeated rows are copies; a null id never
-names a component unless the component has no other.
+names a component unless the component has no other; of rows that tie the first by all their columns stays; a text
+of any length is shingled at once, with some 40 bytes a word; an empty table gives an empty one; extra columns are left out
+of fingerprints and pass through `drop_copies`, whatever their names.
 
 The pipeline's stage, `drop_copies`, has parameters of its own: five words, and a Jaccard similarity of
 0.8, which 4 bits would miss; `likeness` links its copies.

@@ -24,7 +24,8 @@ exchanged once; the three steps that read them share that exchange.
 
 Defined cases: null is an empty text; texts shorter than `min_bytes` keep all; rows that repeat an id
 do not remove from each other; a row with a null id removes nothing and loses nothing; very long
-texts are worked through in pieces of `PIECE` windows; extra columns are left out.
+texts are worked through in pieces of `PIECE` windows; of documents that hold a string the smallest id keeps it, and ids
+cannot tie but by repeating; an empty table gives an empty one; extra columns are left out.
 """
 
 from __future__ import annotations

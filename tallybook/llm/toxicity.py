@@ -17,7 +17,9 @@ one; `PER_CLASS` rows of each class at most, those with the smallest hash of the
 
 Defined cases: a null text counts as empty; an empty text gets the classifier's base score; a
 document without a label is scored like any other; null labels count as none; without toxic rows
-to learn from every score is 0, without clean ones 1; repeated rows get equal scores.
+to learn from every score is 0, without clean ones 1, and in both cases `drop_toxic` keeps every document; repeated rows
+get equal scores; terms that stand out equally are taken in alphabetic order; a text of any length is scored whole, its
+distinct words being held at once; an empty table gives an empty one; extra columns pass through `drop_toxic`, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ FOLDS = 5
 PER_CLASS = (9000, 3000)
 LEXICONS = 7
 SIZES = (4, 5, 6)
+#: Terms kept, the most telling first; a bound on the model, as `PER_CLASS` is one on the sample.
 TERMS = 4096
 #: For terms that no clean text of the sample has, and for others.
 LEAST_ODDS = (2.5, 4.5)
