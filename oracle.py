@@ -20,6 +20,23 @@ from tallybook.schema import APPLICATION_SCHEMA, MULTIPLIERS
 
 MONTHLY = "/ 12.0::DOUBLE"
 
+# The scorecard, written out again so that a wrong constant of the package shows. Edges, and the
+# multiplier below the first edge, from each edge to the next, and from the last one on.
+STEPS = {
+    "delinquency_count_12m": ((1, 2, 3, 4), (1.00, 1.20, 1.45, 1.75, 2.10)),
+    "utilization_rate": ((0.10, 0.30, 0.50, 0.75), (0.95, 1.00, 1.10, 1.25, 1.45)),
+    "debt_to_income_ratio": ((0.20, 0.35, 0.45, 0.55), (0.95, 1.00, 1.10, 1.25, 1.45)),
+    "recent_inquiry_count": ((2, 4, 6), (1.00, 1.05, 1.12, 1.20)),
+    "tradeline_count": ((3, 6, 13, 19), (1.12, 1.05, 1.00, 1.03, 1.08)),
+    "months_since_oldest_trade": ((12, 24, 60), (1.18, 1.10, 1.05, 1.00)),
+    "payment_to_income_ratio": ((0.05, 0.10, 0.15, 0.20), (0.95, 1.00, 1.10, 1.25, 1.45)),
+    "amount_to_income_ratio": ((0.10, 0.30, 0.60, 1.00), (1.00, 1.03, 1.08, 1.15, 1.25)),
+}
+DEROGATORY, BANKRUPTCY = 1.60, 1.85
+BASE_PD = {"SUPER_PRIME": 0.01, "PRIME": 0.025, "NEAR_PRIME": 0.06, "SUBPRIME": 0.14, "DEEP_SUBPRIME": 0.26}
+PRODUCT = {"MORTGAGE": 0.90, "AUTO_LOAN": 1.00, "UNSECURED_PERSONAL_LOAN": 1.10, "REVOLVING_LINE": 1.12, "HELOC": 0.95}
+PD_LOWEST, PD_HIGHEST = 0.005, 0.45
+
 
 def quoted(values: Iterable[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
@@ -39,11 +56,6 @@ def passed(x: str, edges: Iterable, values: Iterable) -> str:
     return f"{doubles(values)}[1 + {steps}]"
 
 
-def stepped(x: str, table) -> str:
-    rungs, above = table
-    return passed(x, [r[0] for r in rungs], [*[r[1] for r in rungs], above])
-
-
 def cumulative(weights: Iterable[Decimal]) -> list[Decimal]:
     out, total = [], Decimal(0)
     for w in list(weights)[:-1]:
@@ -97,7 +109,7 @@ def band_rows() -> str:
             d(C.BANKRUPTCY_CLEAN.get(band, 0)),
             d(of(C.MORTGAGE_INCOME_MULTIPLE)),
             *[d(v) for v in of(C.APR_PREMIUM)],
-            d(of(C.BASE_PD)),
+            d(BASE_PD[band]),
         ]
         rows.append("(" + ", ".join(cells) + ")")
     names = (
@@ -123,7 +135,7 @@ def product_rows(s: Scenario) -> str:
             f"CAST({getattr(s, f'lgd_{f}')} AS DECIMAL(7,6))",
             "[" + ", ".join(map(str, menu or ())) + "]::INTEGER[]",
             *[d(v) for v in (a, unit, slope, shift, width, *C.APR_LIMITS[product])],
-            d(C.MULT_PRODUCT[product]),
+            d(PRODUCT[product]),
         ]
         rows.append("(" + ", ".join(cells) + ")")
     names = (
@@ -165,12 +177,9 @@ def applications(
         (low, up), (high, down) = table["below"], table["above"]
         return f"+ {d(up)} * ({u} < {d(low)})::INT - {d(down)} * ({u} > {d(high)})::INT"
 
-    tradeline_edges = [r[0] for r in C.MULT_TRADELINE[0]][1:] + [C.MULT_TRADELINE[0][-1][1] + 1]
-    tradeline_values = [r[2] for r in C.MULT_TRADELINE[0]] + [C.MULT_TRADELINE[1]]
-    inquiry_edges = [r[0] + 1 for r in C.MULT_INQUIRY[0]]
-    inquiry_values = [r[1] for r in C.MULT_INQUIRY[0]] + [C.MULT_INQUIRY[1]]
-    delinquency_edges = [r[0] + 1 for r in C.MULT_DELINQ[0]]
-    delinquency_values = [r[1] for r in C.MULT_DELINQ[0]] + [C.MULT_DELINQ[1]]
+    def stepped(column: str) -> str:
+        return passed(column, *STEPS[column])
+
     factors = " * ".join(["base_pd", *MULTIPLIERS])
     return f"""
 keys{tag} AS (
@@ -237,22 +246,22 @@ rated{tag} AS (
     {exact_ratio('monthly_payment_proxy', 'income', 12)}::DECIMAL(18,6)
       AS payment_to_income_ratio,
     pd0 AS base_pd,
-    {passed('delinquency_count_12m', delinquency_edges, delinquency_values)} AS mult_delinq,
-    if(major_derogatory_flag, {d(C.MULT_DEROG)}, {d(1)}) AS mult_derog,
-    if(bankruptcy_flag, {d(C.MULT_BANKRUPTCY)}, {d(1)}) AS mult_bankruptcy,
-    {stepped('utilization_rate', C.MULT_UTIL)} AS mult_util,
-    {stepped('debt_to_income_ratio', C.MULT_DTI)} AS mult_dti,
-    {passed('recent_inquiry_count', inquiry_edges, inquiry_values)} AS mult_inquiry,
-    {passed('tradeline_count', tradeline_edges, tradeline_values)} AS mult_tradeline,
-    {stepped('months_since_oldest_trade', C.MULT_FILE_AGE)} AS mult_file_age,
-    {stepped('payment_to_income_ratio', C.MULT_PTI)} AS mult_pti,
-    {stepped('amount_to_income_ratio', C.MULT_AMT_INCOME)} AS mult_amt_income,
+    {stepped('delinquency_count_12m')} AS mult_delinq,
+    if(major_derogatory_flag, {d(DEROGATORY)}, {d(1)}) AS mult_derog,
+    if(bankruptcy_flag, {d(BANKRUPTCY)}, {d(1)}) AS mult_bankruptcy,
+    {stepped('utilization_rate')} AS mult_util,
+    {stepped('debt_to_income_ratio')} AS mult_dti,
+    {stepped('recent_inquiry_count')} AS mult_inquiry,
+    {stepped('tradeline_count')} AS mult_tradeline,
+    {stepped('months_since_oldest_trade')} AS mult_file_age,
+    {stepped('payment_to_income_ratio')} AS mult_pti,
+    {stepped('amount_to_income_ratio')} AS mult_amt_income,
     m_product AS mult_product
   FROM paid{tag}),
 scored{tag} AS (
   SELECT *, '{s.scenario_name}' AS scenario_name, '{s.population_id}' AS population_id,
     DATE '{s.anchor_date}' AS anchor_date,
-    least({d(C.PD_LIMITS[1])}, greatest({d(C.PD_LIMITS[0])},
+    least({d(PD_HIGHEST)}, greatest({d(PD_LOWEST)},
       {factors} * ({d(jit_lo)} + u15 * {d(jit_w)})))::DECIMAL(12,6) AS estimated_pd,
     lgd AS estimated_lgd,
     round(requested_amount::DECIMAL(20,2) * estimated_pd::DECIMAL(7,6) * lgd, 2)::DECIMAL(18,2)
