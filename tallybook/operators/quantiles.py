@@ -2,10 +2,10 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one buffer.
 
-``aggregate_with_quantiles`` scans twice. Beside a report's other figures the first scan makes approximate quantiles
-a little below and above each wanted one. The second counts the rows below and at both ends of these narrow windows and gathers
-the values strictly inside, whose number is bounded by the sketch's error, however often values repeat. Values keep their own
-type, so quantiles of integers and decimals are exact. The counts prove each result; where a window
+``aggregate_with_quantiles`` never multiplies rows. Beside a report's other figures the first scan makes approximate quantiles
+a little below and above each wanted one. The second counts the rows below and at both ends of these narrow windows; a third,
+light one gathers the values strictly inside, whose number is bounded by the sketch's error, however often values repeat. Values
+keep their own type, so quantiles of integers and decimals are exact. The counts prove each result; where a window
 missed, or windows would hold more than ``WINDOW_VALUES`` values, ``exact_quantiles`` takes over.
 
 ``exact_quantiles`` works at any size. A first scan counts rows per cell of an order-preserving histogram, which is
@@ -16,8 +16,10 @@ distinct values, it is split by a finer histogram first.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
+from decimal import Context, Decimal
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions.numeric import Sql
-from tallybook.sources.store import stage, unstage
+from tallybook.sources.store import stage
 
 CELLS_PER_OCTAVE = 256
 FINE_CELLS = 4096
@@ -34,6 +36,8 @@ _NAN_CELL = 2**31 - 1
 BROADCAST_ROWS = 100_000
 #: Rows over rank error of the first scan's sketches, and values that all windows may hold together.
 ACCURACY = 10_000
+MOST_GROUPS = 10_000
+EXACT = Context(prec=80)
 WINDOW_VALUES = 2_000_000
 CELL_VALUES = 1_000_000
 MAX_SPLITS = 4
@@ -67,7 +71,8 @@ def aggregate_with_quantiles(
 ) -> DataFrame:
     """One row per group with the ``figures``, which are aggregates, and exact ``quantiles`` as (column, prob).
 
-    NaN and NULL take no part in a quantile. Both scans run when this is called; the group rows are staged.
+    NaN and NULL take no part in a quantile. The scans run when this is called. Up to ``MOST_GROUPS`` group rows and
+    ``WINDOW_VALUES`` values come to the driver, which picks the ranks; beyond either, nothing does.
     """
     wanted: dict[str, list[float]] = {}
     for column, prob in quantiles.values():
@@ -80,99 +85,128 @@ def aggregate_with_quantiles(
         edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
         sums.append(F.count(c).alias(f"_n{j}"))
         sums.append(F.percentile_approx(c, F.array(*[F.lit(e) for e in edges]), F.lit(ACCURACY)).alias(f"_w{j}"))
-    first = stage(df.groupBy(*by).agg(*sums), "figures")
-    held = " + ".join(f"coalesce(_n{j}, 0) * {len(p)}" for j, p in enumerate(wanted.values()))
-    groups, values = first.agg(F.count("*"), F.sum(F.expr(held)) * (6 / ACCURACY)).first()
-    small = groups <= BROADCAST_ROWS and (values or 0) <= WINDOW_VALUES
-    if small:
-        found = _from_windows(df, by, first, wanted)
-        missed = " OR ".join(f"(_n{j} > 0 AND _q{j}_{k} IS NULL)" for j, p in enumerate(wanted.values()) for k in range(len(p)))
-        small = not found.where(missed).head(1)
-    names = {n: f"_q{list(wanted).index(c)}_{wanted[c].index(p)}" for n, (c, p) in quantiles.items()}
-    if small:
-        unstage(first)
-        return found.select(*by, *figures, *[F.col(q).alias(n) for n, q in names.items()])
-    middle = grouped_quantiles(df, quantiles, by)
-    if not by:
-        return first.select(*figures).crossJoin(middle.select(*quantiles))
-    renamed = middle.select(*[F.col(c).alias(f"_{c}") for c in by], *quantiles)
-    return first.join(renamed, _same(by), "left").select(*by, *figures, *quantiles)
+    first = df.groupBy(*by).agg(*sums)
+    groups = first.limit(MOST_GROUPS + 1).collect()
+    values = sum(g[f"_n{j}"] * len(p) * 6 / ACCURACY for g in groups for j, p in enumerate(wanted.values()))
+    found = None
+    if len(groups) <= MOST_GROUPS and values <= WINDOW_VALUES:
+        found = _from_windows(df, by, groups, wanted)
+    if found is None:
+        middle = grouped_quantiles(df, quantiles, by)
+        plain = df.groupBy(*by).agg(*sums[: len(figures)])
+        if not by:
+            return plain.crossJoin(middle.select(*quantiles))
+        renamed = middle.select(*[F.col(c).alias(f"_{c}") for c in by], *quantiles)
+        return plain.join(renamed, _same(by), "left").select(*by, *figures, *quantiles)
+    columns = [f for f in first.schema.fields if not f.name.startswith(("_n", "_w")) or f.name in figures]
+    schema = T.StructType([*columns, *[T.StructField(n, _result_type(df.schema[c].dataType)) for n, (c, _) in quantiles.items()]])
+    names = list(wanted)
+    rows = [
+        [*[g[f.name] for f in columns], *[found[_key(g, by), names.index(c), p] for c, p in quantiles.values()]] for g in groups
+    ]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def _same(by: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
 
 
-def _from_windows(df: DataFrame, by: Sequence[str], first: DataFrame, wanted: Mapping[str, list[float]]) -> DataFrame:
-    """The first scan's rows with a quantile ``_q<column>_<prob>`` each, NULL where its window missed; staged."""
-    places = [(j, c, k) for j, (c, probs) in enumerate(wanted.items()) for k in range(len(probs))]
-    ends_ = [
-        F.expr(_outward(f"_w{j}[{2 * k + side}]", df.schema[c].dataType, sign)).alias(f"_{name}_end{j}_{k}")
-        for j, c, k in places
-        for side, name, sign in ((0, "low", "-"), (1, "high", "+"))
-    ]
-    windows = first.select(*[F.col(c).alias(f"_{c}") for c in by], *ends_)
-    rows = df.select(*by, *[F.col(c).alias(f"_x{j}") for j, c in enumerate(wanted)])
-    rows = rows.join(F.broadcast(windows), _same(by)) if by else rows.crossJoin(F.broadcast(windows))
-    counts = []
-    for j, probs in enumerate(wanted.values()):
-        for k in range(len(probs)):
-            x, low, high, at = f"_x{j}", f"_low_end{j}_{k}", f"_high_end{j}_{k}", f"{j}_{k}"
-            counts += [
-                f"any_value({low}, true) AS _low{at}",
-                f"any_value({high}, true) AS _high{at}",
-                f"count_if({x} < {low}) AS _below{at}",
-                f"count_if({x} = {low}) AS _first{at}",
-                f"array_sort(collect_list(if({x} > {low} AND {x} < {high}, {x}, NULL))) AS _inside{at}",
-                f"count_if({x} = {high} AND {high} > {low}) AS _last{at}",
-            ]
-    second = rows.groupBy(*by).agg(*[F.expr(c) for c in counts])
-    if by:
-        second = first.join(second.withColumnsRenamed({c: f"_{c}" for c in by}), _same(by), "left")
-    else:
-        second = first.crossJoin(second)
-    names = [f"`{c}`" for c in first.columns if not c.startswith("_w")]
-    ends, values = [], []
-    for j, (c, probs) in enumerate(wanted.items()):
-        for k, p in enumerate(probs):
-            ends += _neighbours(df.schema[c].dataType, f"_n{j}", p, f"{j}_{k}")
-            at, next_ = f"_at{j}_{k}", f"_next{j}_{k}"
-            values.append(f"if({at} = {next_}, {at}, {at} + _share{j}_{k} * ({next_} - {at})) AS _q{j}_{k}")
-    return stage(second.selectExpr(*names, *ends).selectExpr(*names, *values), "quantiles")
+def _key(row: T.Row, by: Sequence[str]) -> tuple:
+    """The group of a row; NaN equals itself."""
+    return tuple("NaN" if row[c] != row[c] else row[c] for c in by)
 
 
-def _outward(edge: Sql, kind: T.DataType, sign: str) -> Sql:
-    """The end of a window in its own type. A sketch holds doubles; where these skip whole units, the window is widened."""
-    if not isinstance(kind, (T.IntegralType, T.DecimalType)):
-        return edge
-    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-    units = f"abs(CAST({edge} AS DOUBLE)) * {float(10**scale)!r}D"
-    slack = f"CAST(ceil({units} * 2.3e-16D) AS DECIMAL(20,0)) * {Decimal(1).scaleb(-scale):f}BD"
-    return f"if({units} > {float(2**52)!r}D, CAST({edge} {sign} {slack} AS {_wide(kind)}), CAST({edge} AS {_wide(kind)}))"
+def _exact(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.precision <= 28
 
 
-def _wide(kind: T.DataType) -> str:
-    return f"DECIMAL(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "DECIMAL(20,0)"
+def _result_type(kind: T.DataType) -> T.DataType:
+    return T.DecimalType(38, getattr(kind, "scale", 0) + 6) if _exact(kind) else T.DoubleType()
 
 
-def _neighbours(kind: T.DataType, n: Sql, prob: float, at: str) -> list[Sql]:
-    """The values at the two ranks next to a quantile of n rows and the share between them, from a window's counts."""
-    exact = isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.precision <= 28
-    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-    place = f"(({n} - 1) * {Decimal(str(prob)):f}BD)"
+def _from_windows(df: DataFrame, by: Sequence[str], groups: Sequence[T.Row], wanted: Mapping[str, list[float]]) -> dict | None:
+    """(group, column, prob) -> value, from the counts and contents of the groups' windows; None if a window missed.
 
-    def value(rank: Sql, name: str) -> Sql:
-        # the place within low ends, values inside and high ends, in this order
-        place_ = f"CAST({rank} AS BIGINT) - _below{at}"
-        found = (
-            f"CASE WHEN {place_} < 0 THEN NULL WHEN {place_} < _first{at} THEN _low{at}"
-            f" WHEN {place_} < _first{at} + size(_inside{at}) + _last{at}"
-            f" THEN coalesce(get(_inside{at}, CAST({place_} - _first{at} AS INT)), _high{at}) END"
-        )
-        return f"CAST({found} AS {f'DECIMAL(28,{scale})' if exact else 'DOUBLE'}) AS {name}{at}"
-
-    share = f"CAST({place} - floor({place}) AS {'DECIMAL(7,6)' if exact else 'DOUBLE'}) AS _share{at}"
-    return [value(f"floor({place})", "_at"), value(f"ceil({place})", "_next"), share]
+    Rows are counted in compiled code; only the few that lie strictly inside a window reach the arrays.
+    """
+    places = [(j, c, k) for j, (c, probs) in enumerate(wanted.items()) for k in range(len(probs))]
+    fields = [T.StructField(f"_{c}", df.schema[c].dataType) for c in by]
+    fields += [T.StructField(f"_{e}{j}_{k}", df.schema[c].dataType) for j, c, k in places for e in ("low", "high")]
+    ends = [
+        [*[g[c] for c in by], *[_outward(g[f"_w{j}"], 2 * k + side, df.schema[c].dataType, side) for j, c, k in places for side in (0, 1)]]
+        for g in groups
+    ]
+    windows = df.sparkSession.createDataFrame(ends, T.StructType(fields))
+    rows = df.select(*by, *[F.col(c).alias(f"_x{j}") for j, c in enumerate(wanted)])
+    rows = rows.join(F.broadcast(windows), _same(by)) if by else rows.crossJoin(F.broadcast(windows))
+    counts, inside, arrays = [], [], []
+    for j, _, k in places:
+        x, low, high, at = f"_x{j}", f"_low{j}_{k}", f"_high{j}_{k}", f"{j}_{k}"
+        counts += [
+            f"count_if({x} < {low}) AS _below{at}",
+            f"count_if({x} = {low}) AS _first{at}",
+            f"count_if({x} = {high} AND {high} > {low}) AS _last{at}",
+        ]
+        inside.append(f"({x} > {low} AND {x} < {high})")
+        arrays.append(f"collect_list(if({inside[-1]}, {x}, NULL)) AS _inside{at}")
+    counted = rows.groupBy(*by).agg(*[F.expr(c) for c in counts])
+    gathered = rows.where(" OR ".join(inside)).groupBy(*by).agg(*[F.expr(a) for a in arrays])
+    counted, gathered = ({_key(r, by): r for r in table.collect()} for table in (counted, gathered))
+    out = {}
+    for g, edge in zip(groups, ends):
+        key = _key(g, by)
+        for i, (j, c, k) in enumerate(places):
+            low, high = edge[len(by) + 2 * i : len(by) + 2 * i + 2]
+            prob, n, at = wanted[c][k], g[f"_n{j}"], f"{j}_{k}"
+            if not n:
+                out[key, j, prob] = None
+                continue
+            r, held = counted[key], gathered.get(key)
+            values = sorted(held[f"_inside{at}"]) if held else []
+            value = _interpolated(df.schema[c].dataType, n, prob, r[f"_below{at}"], (low, r[f"_first{at}"]), values, (high, r[f"_last{at}"]))
+            if value is None:
+                return None
+            out[key, j, prob] = value
+    return out
+
+
+def _outward(edges, at: int, kind: T.DataType, side: int):
+    """The end of a window in its own type. A sketch holds doubles; where these skip whole units, the window is widened."""
+    edge = edges[at] if edges else None
+    if edge is None or not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return edge
+    scale = getattr(kind, "scale", 0)
+    units = int(Decimal(edge).scaleb(scale, EXACT))
+    if abs(units) > 2**52:
+        units += (abs(units) >> 51) * (1 if side else -1)
+        bits = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}.get(type(kind))
+        top = 2**bits - 1 if bits else 10**kind.precision - 1
+        units = max(-top, min(top, units))
+    return Decimal(units).scaleb(-scale, EXACT) if isinstance(kind, T.DecimalType) else units
+
+
+def _interpolated(kind: T.DataType, n: int, prob: float, below: int, first: tuple, inside: Sequence, last: tuple):
+    """The quantile of n values, from how many lie below a window, at its ends, and those inside; None outside of it."""
+    place = (n - 1) * Fraction(str(prob))
+
+    def value(rank: int):
+        rank -= below
+        if 0 <= rank < first[1]:
+            return first[0]
+        rank -= first[1]
+        if 0 <= rank < len(inside):
+            return inside[rank]
+        return last[0] if 0 <= rank - len(inside) < last[1] else None
+
+    low, high = value(math.floor(place)), value(math.ceil(place))
+    if low is None or high is None:
+        return None
+    share = place - math.floor(place)
+    if not _exact(kind):
+        return float(low) if low == high else float(low) + float(share) * (float(high) - float(low))
+    exact = Fraction(low) + share * (Fraction(high) - Fraction(low))
+    digits = getattr(kind, "scale", 0) + 6
+    return Decimal(math.floor(exact * 10**digits + Fraction(1, 2))).scaleb(-digits, EXACT)
 
 
 def exact_quantiles(

@@ -96,8 +96,8 @@ def segment_profile(
 ) -> DataFrame:
     """Rows, share and metrics by segment, unordered.
 
-    All metrics and the total come from one aggregation of one scan; exact medians take a second
-    scan. Values that are not a number count as missing.
+    All metrics and the total come from one aggregation of one scan; exact medians take two more
+    light scans. Values that are not a number count as missing.
     """
     by = [by] if isinstance(by, str) else list(by)
     df = without_nan(df, [m.column for m in metrics if m.column in df.columns and m.column not in by])
@@ -147,7 +147,7 @@ def text_order(column: str) -> Column:
 
 
 def profile(df: DataFrame, scales: Mapping[str, int], count_nan: bool = False) -> DataFrame:
-    """Distribution of several columns, with the exact quartiles, in two scans.
+    """Distribution of several columns, with the exact quartiles.
 
     ``scales`` gives the digits of each column's figures, 2 or 4. Counts, limits and means of
     all columns come from one aggregation in the columns' own types, so that integers and
