@@ -1,4 +1,7 @@
-"""Near copies by the exact Jaccard similarity of word shingles: a prefix join of sets, in two steps.
+"""Near copies by the exact Jaccard similarity of word shingles: candidates, then exact links.
+
+Candidates come from two joins: the trie of SimHash fingerprints (`simhash.near_nodes`), and, for similar texts whose
+fingerprints differ in more bits than the trie joins, a prefix join of sets.
 
 Texts with equal words (less case of A-Z and white space) are one node, known by the MD5 of those words; a
 node's set holds the XXH64 hashes of its shingles. If two sets of sizes a and b have a Jaccard similarity of
@@ -365,15 +368,19 @@ def cross_links(sets: DataFrame, sizes: DataFrame, tied: DataFrame, least: tuple
     return by_bucket(units, ["root", "slice", "other"], work, LINKS)
 
 
-def copies(docs: DataFrame, shingle: int = SHINGLE, least: tuple[int, int] = LEAST) -> tuple[DataFrame, DataFrame]:
+def copies(
+    docs: DataFrame, shingle: int = SHINGLE, least: tuple[int, int] = LEAST, near: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row, and (node, root) of each node that is tied to a smaller one.
 
-    Nodes with one root are connected by links of at least the wanted similarity.
+    Nodes with one root are connected by links of at least the wanted similarity. `near` holds candidates
+    found elsewhere, u and v being short names of nodes; they are checked like the others.
     """
     rows = pick(docs, "doc_id", "text")
     ids = checkpointed(rows.selectExpr("doc_id", f"{NODE} AS node"))
     buckets = checkpointed(met(prefixes(rows, shingle, least)))
-    groups = roots(candidates(buckets, least))
+    met_in_buckets = candidates(buckets, least)
+    groups = roots(near.unionByName(met_in_buckets) if near else met_in_buckets)
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first")
     members = ids.withColumn("short", F.expr(SHORT)).join(groups.withColumnRenamed("node", "short"), "short")

@@ -23,8 +23,9 @@ names a component unless the component has no other; of rows that tie the first
 of any length is shingled at once, with some 40 bytes a word; an empty table gives an empty one; extra columns are left out
 of fingerprints and pass through `drop_copies`, whatever their names.
 
-The pipeline's stage, `drop_copies`, has parameters of its own: five words, and a Jaccard similarity of
-0.8, which 4 bits would miss; `likeness` links its copies.
+The pipeline's stage, `drop_copies`, makes its fingerprints from five words and joins their trie in the same way; what
+the trie links is a candidate, and an exact check of the Jaccard similarity, 0.8 or more, follows in `likeness`. Pairs
+of that similarity may lie further apart than a trie can afford to join, so `likeness` adds the candidates that a prefix join finds.
 """
 
 from __future__ import annotations
@@ -202,14 +203,29 @@ def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) ->
     return prints.join(met, "fp").select("doc_id", "fp", "component_id")
 
 
+def near_nodes(docs: DataFrame, shingle: int = likeness.SHINGLE, budget: int = BUDGET) -> DataFrame:
+    """u, v: links that connect the nodes of `likeness`, by their short names, whose fingerprints the trie's join links."""
+
+    def make():
+        return lambda _, texts: [[fingerprint(t, shingle) for t in texts]]
+
+    named = pick(docs, "doc_id", "text").selectExpr(f"{likeness.NODE} AS node", "text")
+    named = named.selectExpr(f"{likeness.SHORT} AS short", "text")
+    prints = checkpointed(map_rows(named, ["short", "text"], make, "fp bigint").select("short", "fp").distinct())
+    tied = roots(links(prints.select("fp").distinct(), budget))
+    own = prints.join(tied, F.col("fp") == F.col("node"), "left").select("short", F.coalesce("root", "fp").alias("part"))
+    first = own.groupBy("part").agg(F.min("short").alias("v"))
+    return own.join(first, "part").where("short <> v").select(F.col("short").alias("u"), "v")
+
+
 def drop_copies(docs: DataFrame, shingle: int = likeness.SHINGLE, least: tuple[int, int] = likeness.LEAST) -> DataFrame:
     """One row of each group of near copies, the one with the smallest id; a null id comes last.
 
     A row is known by its id and its text, so that different texts without an id, or with one that repeats,
-    are each judged by their own group. Copies are linked by the exact Jaccard similarity of their shingles,
-    `least` as a fraction; see `likeness`.
+    are each judged by their own group. Copies are found by the self-join of their fingerprints' trie and by the prefix
+    join of `likeness`, and linked by the exact Jaccard similarity of their shingles, `least` as a fraction.
     """
-    ids, tied = likeness.copies(docs, shingle, least)
+    ids, tied = likeness.copies(docs, shingle, least, near_nodes(docs, shingle))
     named = ids.join(tied, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
     kept = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("kept"))
     key, node, same, row = (fresh(docs.columns, n) for n in ("kept_id", "node", "kept_node", "row"))

@@ -221,6 +221,33 @@ def test_copies_without_an_id_are_judged_by_their_text(spark):
     assert sorted(got.collect(), key=str) == sorted([(None, a), (None, b), (1, c), (2, d), (2, e)], key=str)
 
 
+def test_pipeline_copies_come_from_the_trie(spark, monkeypatch):
+    """Without the candidates of the prefix join, the trie of fingerprints still finds what it can: 4 bits, then 0.8 exactly."""
+    rows = random.Random(8)
+    texts = []
+    for _ in range(30):
+        own = rows.choices([f"w{i}" for i in range(2000)], k=400)
+        texts.append(" ".join(own))
+        for changes in (1, 2, 4, 8):
+            own = list(own)
+            for _ in range(changes):
+                own[rows.randrange(400)] = rows.choice("abcdef")
+            texts.append(" ".join(own))
+    texts += ["one two three four five", "One two three  four five", None, ""]
+    fps = [simhash.fingerprint(t, 5) for t in texts]
+    label = list(range(len(texts)))
+    for i, t in enumerate(texts):
+        for j in range(i):
+            near = ((fps[i] ^ fps[j]) % 2**64).bit_count() <= simhash.BUDGET
+            if near and plain_likeness(words((t or "").lower()), words((texts[j] or "").lower())) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert len(set(label)) < len(texts) - 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(simhash.likeness, "candidates", lambda rows, _: rows.selectExpr("node AS u", "node AS v").limit(0))
+    assert sorted(r.doc_id for r in simhash.drop_copies(docs).collect()) == sorted(set(label))
+
+
 # top-k search
 
 
