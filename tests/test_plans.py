@@ -135,3 +135,14 @@ def test_profile_keeps_wide_integers(spark):
     df = spark.createDataFrame([(9007199254740993, 1.0), (None, None)], "a long, b double")
     rows = {r.variable_name: r for r in R.profile(df, {"a": 2, "b": 2}).collect()}
     assert int(rows["a"].max_val) == 9007199254740993 and (rows["a"].n, rows["b"].n) == (1, 1)
+
+
+def test_tasks_grow_with_the_orders(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+    from tallybook.sources import keys
+
+    monkeypatch.setattr(keys, "MOST_KEYS", 10)
+    for n in (40, 400):
+        spark.range(n).selectExpr("id AS o_orderkey").write.parquet(str(tmp_path / f"{n}/orders.parquet"))
+    few, many = (entry.order_keys(spark, str(tmp_path / str(n))).rdd.getNumPartitions() for n in (40, 400))
+    assert few == spark.sparkContext.defaultParallelism and many == 40
