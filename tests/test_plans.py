@@ -137,12 +137,34 @@ def test_profile_keeps_wide_integers(spark):
     assert int(rows["a"].max_val) == 9007199254740993 and (rows["a"].n, rows["b"].n) == (1, 1)
 
 
+def orders_of(spark, path, n):
+    spark.range(n).selectExpr("id AS o_orderkey").write.parquet(f"{path}/{n}/orders.parquet")
+    return f"{path}/{n}"
+
+
 def test_tasks_grow_with_the_orders(spark, tmp_path, monkeypatch):
     import __spark_entry__ as entry
     from tallybook.sources import keys
 
     monkeypatch.setattr(keys, "MOST_KEYS", 10)
-    for n in (40, 400):
-        spark.range(n).selectExpr("id AS o_orderkey").write.parquet(str(tmp_path / f"{n}/orders.parquet"))
-    few, many = (entry.order_keys(spark, str(tmp_path / str(n))).rdd.getNumPartitions() for n in (40, 400))
-    assert few == spark.sparkContext.defaultParallelism and many == 40
+    at_once = spark.sparkContext.defaultParallelism
+    few, many = (entry.order_keys(spark, orders_of(spark, tmp_path, n)).rdd.getNumPartitions() for n in (40, 400))
+    assert few == at_once and many == at_once * -(-400 // (10 * at_once)) and many * 10 >= 400
+
+
+def test_the_mix_needs_two_draws(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    path = orders_of(spark, tmp_path, 50)
+    text = plan(entry.mix_fits_targets(spark, path))
+    assert text.count("md5(") == 2 and "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
+def test_a_bucket_is_one_file_a_scenario(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    create_database(spark, "tallybook_reports")
+    known = {t.name for t in spark.catalog.listTables("tallybook_reports")}
+    assert entry.bucketed_compare(spark, orders_of(spark, tmp_path, 3000)).selectExpr("sum(matched)").first()[0] == 3000
+    (new,) = {t.name for t in spark.catalog.listTables("tallybook_reports")} - known
+    assert len(spark.table(f"tallybook_reports.{new}").inputFiles()) <= 8 * 3

@@ -132,3 +132,24 @@ def test_a_list_is_scored_in_slices(spark, monkeypatch):
     many = [replace(BASE, scenario_name=f"S{i}") for i in range(5)]
     rows = score_scenarios(key_table(spark, 4), many).groupBy("scenario_name").count()
     assert {r[0]: r[1] for r in rows.collect()} == {s.scenario_name: 4 for s in many}
+
+
+def test_structure_is_made_once_for_scenarios_that_differ_in_loss(spark, monkeypatch):
+    made = []
+    plain = P.with_structure
+    monkeypatch.setattr(P, "with_structure", lambda df, *args: made.append(df.count()) or plain(df, *args))
+    rates = ("0.2", "0.3", "0.4")
+    few = [replace(BASE, scenario_name=f"L{r}", lgd_auto=Decimal(r)) for r in rates] + [replace(BASE, scenario_name="UP", rate_shift_bps=100)]
+    rows = score_scenarios(key_table(spark, 30), few, audit=False)
+    assert made == [60] and rows.count() == 120
+    for s in few:
+        alone = score_scenarios(key_table(spark, 30), [s], audit=False)
+        assert rows.where(rows.scenario_name == s.scenario_name).exceptAll(alone).count() == 0
+
+
+def test_borrowers_are_not_stored_where_parameters_are_broadcast(spark, monkeypatch):
+    names = []
+    plain = T.staged
+    monkeypatch.setattr(T, "staged", lambda df, name: names.append(name) or plain(df, name))
+    assert score_scenarios(key_table(spark, 4), scenarios_df(spark, MANY), audit=False).count() == 52
+    assert names == ["draws"]

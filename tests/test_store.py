@@ -201,3 +201,24 @@ def test_batch_reports(spark, tmp_path):
         str(tmp_path / "c2"),
     ).awaitTermination(120)
     assert sum(seen) == 200
+
+
+def test_a_build_moves_keys_and_not_rows(spark, tmp_path, monkeypatch):
+    from tallybook.plans import build
+    from tallybook.sources import keys
+
+    monkeypatch.setattr(keys, "MOST_KEYS", 10)
+    plans = []
+    plain = build.write_folder
+
+    def seen(df, path, **how):
+        plans.append((df.rdd.getNumPartitions(), how))
+        return plain(df, path, **how)
+
+    monkeypatch.setattr(build, "write_folder", seen)
+    path = str(tmp_path / "p")
+    at_once = spark.sparkContext.defaultParallelism
+    for n in (5, 400):
+        scenarios = [replace(s, application_count=n) for s in (BASE, UP)]
+        assert build_portfolio(key_table(spark, n), scenarios, path).count() == 2 * n
+    assert plans == [(1, {"dealt": True}), (at_once * -(-400 // (10 * at_once)), {"dealt": True})]
