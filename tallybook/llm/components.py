@@ -2,7 +2,7 @@
 
 Every round replaces edges by edges to smaller nodes, with two aggregations and joins on the node;
 the graph is never gathered. Rounds are written to the shared folder, so that the lineage stays
-short and a lost executor costs one round. Repeated edges, loops and nulls in edges do no harm.
+short and a lost executor costs one round; a round has as many files as its edges fill. Repeated edges, loops and nulls in edges do no harm.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import checkpointed
+from tallybook.llm.common import checkpointed, files_for
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -29,13 +29,16 @@ def small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(own).where("u <> v").distinct()
 
 
-def roots(edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node that each node of `edges` (u, v) can reach, itself left out."""
-    now = checkpointed(edges.where("u <> v").select("u", "v").distinct())
+def roots(edges: DataFrame, about: int | None = None) -> DataFrame:
+    """node, root: the smallest node that each node of `edges` (u, v) can reach, itself left out.
+
+    `about` is how many edges there may be, if that is known; it decides the number of files alone.
+    """
+    now = checkpointed(edges.where("u <> v").select("u", "v").distinct(), None if about is None else files_for(about))
     mark = None
     while True:
         row = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if row[0] == 0 or tuple(row) == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = tuple(row)
-        now = checkpointed(small_star(large_star(now)))
+        now = checkpointed(small_star(large_star(now)), files_for(row[0]))  # a round adds no edges

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.buckets import by_bucket, forest, least_reached, pairs_by_offset, sliced
-from tallybook.llm.common import checkpointed, map_rows, pick
+from tallybook.llm.common import checkpointed, files_for, map_rows, pick
 from tallybook.llm.components import roots
 
 SHINGLE = 5
@@ -53,6 +53,8 @@ MOST = 4096
 SETS = 512
 FEW = 16
 SENT = 500_000
+#: Texts whose elements or sets one task has, before there are more tasks than cores.
+TEXTS = 5_000
 
 WORDS = (
     f"trim(regexp_replace(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),"
@@ -343,7 +345,8 @@ def cross_links(sets: DataFrame, sizes: DataFrame, tied: DataFrame, least: tuple
     main = main.where("outside > 0").withColumn("others", F.expr(f"CAST(ceil(outside / {SETS}) AS INT)")).drop("outside")
     placed = parted.join(main, "root").withColumn("slice", F.expr("CAST(pmod(xxhash64(node), slices) AS INT)"))
     placed = placed.withColumn("other", F.expr("if(part = main, -1, CAST(pmod(xxhash64('other', node), others) AS INT))"))
-    rows = sets.drop("root").join(checkpointed(placed), "node")
+    placed = checkpointed(placed, files_for(sets.count()))
+    rows = sets.drop("root").join(placed, "node")
     held = ["root", "slice", "other", "node", "part", "asks", "tokens", "s", "t"]
     # each member once for every slice of the others, and each of the others once for every slice of members
     members = rows.selectExpr("* EXCEPT (other)", "explode(sequence(0, others - 1)) AS other", "false AS asks")
@@ -365,7 +368,13 @@ def cross_links(sets: DataFrame, sizes: DataFrame, tied: DataFrame, least: tuple
                     u += [node[a + i]] * len(one)
         return pd.DataFrame({"u": pd.Series(u, dtype=object), "v": pd.Series(v, dtype=object)})
 
-    return by_bucket(units, ["root", "slice", "other"], work, LINKS)
+    sent = placed.agg(F.sum(F.col("others") + F.when(F.col("other") >= 0, F.col("slices")).otherwise(0))).first()[0] or 0
+    return checkpointed(by_bucket(units, ["root", "slice", "other"], work, LINKS), tasks_for(sets, sent))
+
+
+def tasks_for(df: DataFrame, texts: int) -> int:
+    """Of work that follows an exchange; large tables have a task for so many texts."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, files_for(texts, TEXTS))
 
 
 def copies(
@@ -378,19 +387,22 @@ def copies(
     """
     rows = pick(docs, "doc_id", "text")
     ids = checkpointed(rows.selectExpr("doc_id", f"{NODE} AS node"))
-    buckets = checkpointed(met(prefixes(rows, shingle, least)))
+    n = ids.count()
+    tasks = tasks_for(docs, n)
+    buckets = checkpointed(met(prefixes(rows, shingle, least)), tasks)
     met_in_buckets = candidates(buckets, least)
-    groups = roots(near.unionByName(met_in_buckets) if near else met_in_buckets)
+    groups = roots(near.unionByName(met_in_buckets) if near else met_in_buckets, n + buckets.count())
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first")
     members = ids.withColumn("short", F.expr(SHORT)).join(groups.withColumnRenamed("node", "short"), "short")
     members = members.groupBy("node", "root").agg(first).selectExpr("node", "root", "first.doc_id AS first_id")
-    sets = checkpointed(member_sets(rows, checkpointed(members), shingle))
+    sets = checkpointed(member_sets(rows, checkpointed(members, files_for(n)), shingle), tasks)
     sizes = sets.groupBy("root").agg(F.count("*").alias("n"), F.min("node").alias("first_node"))
-    sizes = checkpointed(sizes.where("n > 1").selectExpr("root", "first_node", f"CAST(ceil(n / {SETS}) AS INT) AS slices"))
-    links = checkpointed(slice_links(sets, sizes, least))
-    tied = roots(links)
+    sizes = checkpointed(sizes.where("n > 1").selectExpr("root", "first_node", f"CAST(ceil(n / {SETS}) AS INT) AS slices"), files_for(n))
+    links = checkpointed(slice_links(sets, sizes, least), tasks)
+    tied = roots(links, links.count())
     if not sizes.where("slices > 1").head(1):
         return ids, tied
-    more = checkpointed(cross_links(sets, sizes, tied, least))
-    return ids, roots(links.unionByName(more)) if more.head(1) else tied
+    more = cross_links(sets, sizes, tied, least)
+    found = more.count()
+    return ids, roots(links.unionByName(more), links.count() + found) if found else tied

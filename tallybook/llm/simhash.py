@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import likeness
-from tallybook.llm.common import checkpointed, fresh, map_rows, pick, table
+from tallybook.llm.common import checkpointed, files_for, fresh, map_rows, pick, table
 from tallybook.llm.components import roots
 
 SHINGLE = 4
@@ -211,8 +211,10 @@ def near_nodes(docs: DataFrame, shingle: int = likeness.SHINGLE, budget: int = B
 
     named = pick(docs, "doc_id", "text").selectExpr(f"{likeness.NODE} AS node", "text")
     named = named.selectExpr(f"{likeness.SHORT} AS short", "text")
-    prints = checkpointed(map_rows(named, ["short", "text"], make, "fp bigint").select("short", "fp").distinct())
-    tied = roots(links(prints.select("fp").distinct(), budget))
+    n = docs.count()
+    prints = map_rows(named, ["short", "text"], make, "fp bigint").select("short", "fp").distinct()
+    prints = checkpointed(prints, files_for(n))
+    tied = roots(links(prints.select("fp").distinct(), budget), n * len(block_masks(n, budget)))
     own = prints.join(tied, F.col("fp") == F.col("node"), "left").select("short", F.coalesce("root", "fp").alias("part"))
     first = own.groupBy("part").agg(F.min("short").alias("v"))
     return own.join(first, "part").where("short <> v").select(F.col("short").alias("u"), "v")

@@ -29,11 +29,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import checkpointed, filter_rows, fold, map_rows, pick, table
+from tallybook.llm.common import checkpointed, files_for, filter_rows, fold, map_rows, pick, table
 
 FOLDS = 5
-#: Rows of the sample, clean and toxic at most.
+#: Rows of the sample, clean and toxic at most; and in a file.
 PER_CLASS = (9000, 3000)
+PER_FILE = 1000
 LEXICONS = 7
 SIZES = (4, 5, 6)
 #: Terms kept, the most telling first; a bound on the model, as `PER_CLASS` is one on the sample.
@@ -249,7 +250,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return work
 
     rows = map_rows(met, ["toxic", "text"], make, "words array<string>, form int")
-    return checkpointed(rows.dropDuplicates(["toxic", "words"]))
+    return checkpointed(rows.dropDuplicates(["toxic", "words"]), files_for(sum(PER_CLASS), PER_FILE))
 
 
 def features(rows: DataFrame, found: list[str]) -> list[tuple[int, int, list[int]]]:

@@ -3,6 +3,8 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -221,6 +223,50 @@ def test_copies_without_an_id_are_judged_by_their_text(spark):
     assert sorted(got.collect(), key=str) == sorted([(None, a), (None, b), (1, c), (2, d), (2, e)], key=str)
 
 
+@contextmanager
+def checkpoint_files(spark, partitions):
+    """How many files each checkpoint has that is written meanwhile, with so many partitions after every exchange."""
+    held = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    spark.range(1).checkpoint()
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    old, found = set(folder.iterdir()), []
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        yield found
+        found += [len(list(d.glob("part-*"))) for d in set(folder.iterdir()) - old]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rounds_of_few_edges_are_one_file(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long").checkpoint()
+    with checkpoint_files(spark, 40) as found:
+        got = {r.node: r.root for r in roots(edges, 200).collect()}
+    assert got == {i: 0 for i in range(1, 201)}
+    assert len(found) > 3 and set(found) == {1}
+
+
+def test_copies_of_few_texts_are_few_files(spark, monkeypatch):
+    monkeypatch.setattr(simhash.likeness, "SETS", 8)  # so that slices meet too
+    rows = random.Random(34)
+    texts = []
+    for _ in range(4):
+        base = rows.choices([f"w{i}" for i in range(900)], k=80)
+        for _ in range(30):
+            own = list(base)
+            for _ in range(rows.randint(0, 6)):
+                own[rows.randrange(80)] = rows.choice("abcdef")
+            texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    with checkpoint_files(spark, 40) as found:
+        got = sorted(r.doc_id for r in simhash.drop_copies(docs).collect())
+    assert got == sorted(set(plain_near(texts)))
+    assert len(found) > 10 and max(found) <= spark.sparkContext.defaultParallelism
+
+
 def test_pipeline_copies_come_from_the_trie(spark, monkeypatch):
     """Without the candidates of the prefix join, the trie of fingerprints still finds what it can: 4 bits, then 0.8 exactly."""
     rows = random.Random(8)
